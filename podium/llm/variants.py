@@ -51,7 +51,7 @@ NICKNAMES = {
     "ned": "edward", "nick": "nicholas", "nico": "nicholas", "nicky": "nicholas", "pat": "patricia", "patty": "patricia", "peg": "margaret",
     "peggy": "margaret", "penny": "penelope", "pete": "peter", "ray": "raymond", "rich": "richard", "rick": "richard",
     "rob": "robert", "robbie": "robert", "ron": "ronald", "sally": "sarah", "sam": "samuel", "sammy": "samuel",
-    "sandy": "alexander", "steve": "stephen", "sue": "susan", "susie": "susan", "ted": "theodore", "teddy": "theodore",
+    "sandy": "alexander", "steve": "stephen", "sue": "susan", "susie": "susan", "suzie": "susan", "suzy": "susan", "tori": "victoria", "ted": "theodore", "teddy": "theodore",
     "theo": "theodore", "tom": "thomas", "tommy": "thomas", "tony": "anthony", "trish": "patricia", "vic": "victoria",
     "vicky": "victoria", "wes": "wesley", "will": "william", "willy": "william", "zach": "zachary", "bella": "isabella",
     "izzy": "isabella", "dolly": "dorothea", "thea": "dorothea", "bert": "albert", "al": "albert", "gene": "eugene",
@@ -145,6 +145,8 @@ def token_likeness(a: str, b: str, count: dict[str, int]) -> tuple[float, bool]:
         return 0.6, True
     if len(short) >= 2 and long.startswith(short) and len(long) - len(short) >= 2 and (few < 3 or many >= 6 * few):
         return 0.7, True
+    if len(short) == 3 and len(long) <= 4 and edits(short, long, 1) <= 1:
+        return 0.6, True
     if len(short) >= 3 and few < 3 and len(long) - len(short) >= 2 and edits(short, long[: len(short)], 1) <= 1:
         return 0.5, True
     return 0.0, False
@@ -167,27 +169,29 @@ def name_likeness(a: list[str], b: list[str], count: dict[str, int]) -> tuple[fl
                 if hint and all(h for _, h in pairs):
                     continue
                 best = max(best, (sum(s for s, _ in pairs) / len(pairs), hint), key=lambda x: (not x[1] and x[0] > 0, x[0]))
-    if len(a) != len(b) or best[0] == 0:
+    if best[0] == 0:
         one, other = (a, b) if len(a) < len(b) else (b, a)
-        if len(one) < len(other) or len(a) == len(b) > 1:
-            whole = "".join(one)
-            for order in permutations(other) if len(other) <= 4 else [tuple(other)]:
-                text = "".join(order)
-                if len(whole) >= 6 and (whole == text or edits(whole, text, 1) <= 1):
-                    best = max(best, (1 - 0.5 * (whole != text) / len(text), False))
+        whole, apart = "".join(one), len(one) < len(other)
+        for order in permutations(other) if len(other) <= 4 else [tuple(other)]:
+            text = "".join(order)
+            if len(whole) >= 6 and whole == text:
+                return 0.99, False
+            if len(whole) >= 6 and apart and edits(whole, text, 1) <= 1:
+                best = max(best, (0.9, True))
     return best
 
 
 def same_company(a: str | None, b: str | None) -> int:
-    """1 if two groups look the same, -1 if different, 0 if one is not known."""
+    """1 if two group labels look the same, -1 if different, 0 if one is not known.
+
+    They look the same if the words of one are among those of the other, or if
+    two words are shared, up to misread characters.
+    """
     if not a or not b or "No Alliance" in (a, b):
         return 0
-    (ta, wa), (tb, wb) = group_tokens(a), group_tokens(b)
-    if ta and tb and (ta == tb or seen(ta.casefold()) == seen(tb.casefold())):
-        return 1
-    if wa and wb and name_likeness(wa, wb, {})[0] > 0:
-        return 1
-    return -1
+    x, y = ({seen(t) for w in _CUT.split(plain(s)) if len(t := letters(w)) > 1 and t not in NOISE} for s in (a, b))
+    shared = len(x & y)
+    return 1 if shared and (shared >= 2 or shared == min(len(x), len(y))) else -1
 
 
 def keys(tokens: list[str]) -> set[str]:
@@ -233,18 +237,21 @@ def _tokenised(kind_column: str, person: str):
     return run
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, hashes = [], []
-        for i, block, tag, tokens in zip(*(batch.column(n).to_pylist() for n in ("id", "block", "tag", "tokens"))):
-            own = {xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for k in keys(tokens)}
-            if tag:
-                own.add(xxhash.xxh64_intdigest(f"{block}|g{seen(tag.casefold())}") - 2**63)
-            if len(tokens) == 1:
-                own |= {xxhash.xxh64_intdigest(f"{block}|j{d}") - 2**63 for d in deletes(seen(tokens[0]), 1)}
-            hashes += own
-            ids += [i] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64())], names=["key", "id"])
+def _keyed(person: str):
+    return lambda batches: (_keys_of(batch, person) for batch in batches)
+
+
+def _keys_of(batch: pa.RecordBatch, person: str) -> pa.RecordBatch:
+    ids, hashes = [], []
+    for i, block, tag, tokens in zip(*(batch.column(n).to_pylist() for n in ("id", "block", "tag", "tokens"))):
+        own = {xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for k in keys(tokens)}
+        if tag:
+            own.add(xxhash.xxh64_intdigest(f"{block}|g{seen(tag.casefold())}") - 2**63)
+        elif len(tokens) > 1 and not block.startswith(f"{person}|"):  # one end may be a tag without its brackets
+            own |= {xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for part in (tokens[1:], tokens[:-1]) for k in keys(part)}
+        hashes += own
+        ids += [i] * len(own)
+    return pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64())], names=["key", "id"])
 
 
 def judge(tag_a: str, a: list[str], tag_b: str, b: list[str], count: dict[str, int]) -> tuple[float, bool]:
@@ -253,9 +260,21 @@ def judge(tag_a: str, a: list[str], tag_b: str, b: list[str], count: dict[str, i
         x, y = seen(tag_a.casefold()), seen(tag_b.casefold())
         if x != y and edits(x, y, 1) > 1:
             return 0.0, False
-        if x == y and (not a or not b):
-            return 0.95, False
-    return name_likeness(a, b, count)
+        if not a or not b:
+            return (0.95, False) if tag_a.casefold() == tag_b.casefold() else (0.0, False)
+        best = name_likeness(a, b, count)
+        if best[0] == 0 and x == y and len(a) != len(b):  # a label cut off at its end
+            n = min(len(a), len(b))
+            best = (0.5, True) if name_likeness(a[:n], b[:n], count)[0] > 0 else best
+        return best
+    best = name_likeness(a, b, count)
+    if best[0] == 0 and (tag_a or tag_b):  # the other's tag may stand without brackets
+        tag, with_tag, other = (tag_a, a, b) if tag_a else (tag_b, b, a)
+        mark = seen(letters(tag))
+        for end, rest in ((other[0], other[1:]), (other[-1], other[:-1])) if len(other) > 1 else ():
+            if seen(end) == mark:
+                best = max(best, name_likeness(with_tag, rest, count))
+    return best
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +286,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count = dict(zip(a, columns["counts_a"][n])) | dict(zip(b, columns["counts_b"][n]))
             like, hint = judge(columns["tag_a"][n], a, columns["tag_b"][n], b, count)
             if like > 0:
-                small_first = (sum(map(len, a)), columns["id_a"][n]) <= (sum(map(len, b)), columns["id_b"][n])
+                small_first = (len(a), sum(map(len, a)), columns["id_a"][n]) <= (len(b), sum(map(len, b)), columns["id_b"][n])
                 i, j = (columns["id_a"][n], columns["id_b"][n])[:: 1 if small_first else -1]
                 out.append((i, j, like, hint, same_company(columns["company_a"][n], columns["company_b"][n]) if hint else 0))
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.int32()))], names=["a", "b", "likeness", "hint", "company"])
@@ -298,14 +317,18 @@ def link_variants(names: DataFrame, key: str, kind: str, block: str, text: dict[
     counts = spread.groupBy("kind", "token").agg(F.countDistinct("id").alias("n"))
     counted = spread.join(counts, ["kind", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("_c"))
     known = durable(fuzzy.join(counted, "id", "left").select("id", "company", "tag", "tokens", F.coalesce(F.col("_c.n"), F.expr("array()")).cast("array<bigint>").alias("counts")))
-    keyed = fuzzy.select("id", "block", "tag", "tokens").mapInArrow(_keyed, "key bigint, id bigint")
+    keyed = fuzzy.select("id", "block", "tag", "tokens").mapInArrow(_keyed(person), "key bigint, id bigint")
     pairs = keyed.alias("x").join(keyed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")).distinct()
     side = lambda s: known.select(*[F.col(c).alias(f"{c}_{s}") for c in known.columns])
     links = durable(pairs.join(side("a"), "id_a").join(side("b"), "id_b").mapInArrow(_judged, "a bigint, b bigint, likeness double, hint boolean, company int"))
     strong = components_of(links.where("not hint"))
     of = lambda name, to: strong.select(F.col("node").alias(name), F.col("component").alias(to))
     hints = links.where("hint").join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"), "company").where("ca <> cb")
-    target = hints.groupBy("ca").agg(F.min("cb").alias("lo"), F.max("cb").alias("hi"), F.min(F.when(F.col("company") == 1, F.col("cb"))).alias("same_lo"), F.max(F.when(F.col("company") == 1, F.col("cb"))).alias("same_hi"))
+    hints = durable(hints.distinct())
+    # A full form is one that hints at no other; others count as targets only where no full form is in reach.
+    full = hints.join(hints.select(F.col("ca").alias("cb")).distinct().withColumn("_h", F.lit(1)), "cb", "left").withColumn("_f", F.col("_h").isNull())
+    full = full.withColumn("_any", F.max("_f").over(Window.partitionBy("ca"))).where("_f or not _any")
+    target = full.groupBy("ca").agg(F.min("cb").alias("lo"), F.max("cb").alias("hi"), F.min(F.when(F.col("company") == 1, F.col("cb"))).alias("same_lo"), F.max(F.when(F.col("company") == 1, F.col("cb"))).alias("same_hi"))
     chosen = target.select(F.col("ca").alias("a"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("same_lo") == F.col("same_hi"), F.col("same_lo")).alias("b")).where("b is not null")
     merged = components_of(chosen).select(F.col("node").alias("component"), F.col("component").alias("top"))
     first = copies.join(strong.withColumnRenamed("node", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
