@@ -7,8 +7,8 @@ found by bisection, to meet a target entropy or the largest that keeps every
 source within its repetition limit at the wanted size.  The weights are then
 realised as budgeted block permutations: every pass over a source is a fresh
 permutation of hashed blocks and of the documents in them; whole blocks are
-taken until the block in which the budget ends, which is filled document by
-document.
+taken until the block in which the budget ends, of which those documents are
+taken, in order, that still fit.
 
 Only one row per source reaches the driver.  Prefix sums run over blocks, whose
 number follows the size of the source, and within the one block a pass ends in;
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,7 +106,7 @@ def read_sources(sizes: DataFrame, source: str, targets: DataFrame | None = None
 def realise(sizes: DataFrame, key: str, source: str, sources: list[Source], budget: dict[str, int], seed: int = 17, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The mixture: ``source, pass_no, block_rank, doc_rank_key, doc_id, n_tokens``, one row per use of a document.
 
-    A source's rows sum to its budget or less by under one document.  Sorting
+    A source's rows sum to its budget, or less by under the smallest document left out.  Sorting
     by block_rank and doc_rank_key gives the order in which a pass is read.
     Documents without tokens, key or source are left out.
     """
@@ -129,6 +130,16 @@ def realise(sizes: DataFrame, key: str, source: str, sources: list[Source], budg
     ends = by_block.withColumn("upto", F.sum("held").over(order)).withColumn("before", F.col("upto") - F.col("held")).where("before < budget")
     kept = part.join(ends.select("source", "pass_no", "block_no", "before", "upto"), ["source", "pass_no", "block_no"])
     inside = kept.where("upto <= budget").select(*columns)
-    within = Window.partitionBy("source", "pass_no", "block_no").orderBy("doc_rank_key", "doc_id")
-    last = kept.where("upto > budget").withColumn("cum", F.col("before") + F.sum("n_tokens").over(within)).where("cum <= budget").select(*columns)
+    ending = kept.where("upto > budget").select(*columns, (F.col("budget") - F.col("before")).alias("left"))
+    last = ending.groupBy("source", "pass_no", "block_rank").applyInPandas(_fill, ending.select(*columns).schema)
     return whole.unionByName(inside).unionByName(last)
+
+
+def _fill(block: pd.DataFrame) -> pd.DataFrame:
+    """The documents of the block in which a budget ends, in order, each if it still fits."""
+    left, taken = int(block["left"].iloc[0]), []
+    block = block.sort_values(["doc_rank_key", "doc_id"])
+    for size in block["n_tokens"]:
+        taken.append(size <= left)
+        left -= size if size <= left else 0
+    return block[taken].drop(columns="left")
