@@ -54,6 +54,21 @@ def edits(a: str, b: str, limit: int) -> int:
         return 0
     if abs(len(a) - len(b)) > limit:
         return limit + 1
+    x, y = set(a), set(b)
+    if len(x - y) > limit or len(y - x) > limit:  # each letter that the other lacks costs an edit
+        return limit + 1
+    start, end = 0, min(len(a), len(b))
+    while start < end and a[start] == b[start]:
+        start += 1
+    left = end - start
+    stop = 0
+    while stop < left and a[-1 - stop] == b[-1 - stop]:
+        stop += 1
+    a, b = a[start : len(a) - stop], b[start : len(b) - stop]
+    if not a or not b:
+        return len(a) + len(b) if len(a) + len(b) <= limit else limit + 1
+    if len(a) == len(b) == 1:
+        return 1 if limit >= 1 else limit + 1
     before, row = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]

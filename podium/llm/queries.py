@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from podium.llm import name_queries, text_queries
+from podium.llm import match_queries, name_queries, text_queries
 
-_MODULES = [name_queries, text_queries]
+_MODULES = [name_queries, match_queries, text_queries]
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}

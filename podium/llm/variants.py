@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import permutations
 
 import pyarrow as pa
@@ -70,7 +71,7 @@ _SUFFIX = regex.compile(r"\s*\(\p{L}\)\s*$")
 
 def letters(word: str) -> str:
     """``word`` in small letters without accents, digits among letters as the letters they stand for."""
-    low = unicodedata.normalize("NFD", word.casefold())
+    low = unicodedata.normalize("NFD", word.rstrip("!").casefold())
     low = "".join(c for c in low if not unicodedata.combining(c) or c == "̆").translate(_LETTER_BARS)
     low = unicodedata.normalize("NFC", low)
     return low.translate(_DIGIT_AS_LETTER).replace("|", "l").replace("!", "i") if any(c.isalpha() for c in low) else low
@@ -152,6 +153,12 @@ def token_likeness(a: str, b: str, count: dict[str, int]) -> tuple[float, bool]:
     return 0.0, False
 
 
+@lru_cache(maxsize=500_000)
+def token_likeness_alone(a: str, b: str) -> tuple[float, bool]:
+    """``token_likeness`` where no counts are known."""
+    return token_likeness(a, b, {})
+
+
 def name_likeness(a: list[str], b: list[str], count: dict[str, int]) -> tuple[float, bool]:
     """(mean likeness under the best assignment or 0, whether it rests on hints) of two token lists.
 
@@ -163,8 +170,12 @@ def name_likeness(a: list[str], b: list[str], count: dict[str, int]) -> tuple[fl
     best = (0.0, False)
     if len(a) == len(b) and len(a) <= 5:
         for order in permutations(b):
-            pairs = [token_likeness(x, y, count) for x, y in zip(a, order)]
-            if all(s > 0 for s, _ in pairs):
+            pairs = []
+            for x, y in zip(a, order):
+                pairs.append(token_likeness(x, y, count) if count else token_likeness_alone(x, y))
+                if not pairs[-1][0]:
+                    break
+            else:
                 hint = any(h for _, h in pairs)
                 if hint and all(h for _, h in pairs):
                     continue
@@ -181,6 +192,12 @@ def name_likeness(a: list[str], b: list[str], count: dict[str, int]) -> tuple[fl
     return best
 
 
+@lru_cache(maxsize=100_000)
+def label_words(text: str) -> frozenset[str]:
+    """The words of a group's label, misread characters brought together."""
+    return frozenset(seen(t) for w in _CUT.split(plain(text)) if len(t := letters(w)) > 1 and t not in NOISE)
+
+
 def same_company(a: str | None, b: str | None) -> int:
     """1 if two group labels look the same, -1 if different, 0 if one is not known.
 
@@ -189,7 +206,7 @@ def same_company(a: str | None, b: str | None) -> int:
     """
     if not a or not b or "No Alliance" in (a, b):
         return 0
-    x, y = ({seen(t) for w in _CUT.split(plain(s)) if len(t := letters(w)) > 1 and t not in NOISE} for s in (a, b))
+    x, y = label_words(a), label_words(b)
     shared = len(x & y)
     return 1 if shared and (shared >= 2 or shared == min(len(x), len(y))) else -1
 
