@@ -83,9 +83,9 @@ def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, s
     broken brackets on the last words of the label, never label by label.
     """
     fixes = corrections or {}
-    counted = players.groupBy("alliance").agg(F.count("*").alias("c"))
-    seen = counted.select("alliance", "c", F.coalesce(corrected(F.col("alliance"), fixes), normal_label(F.col("alliance"))).alias("label"), corrected(F.col("alliance"), fixes).isNotNull().alias("manual"))
-    now = seen.groupBy("label").agg(F.sum("c").alias("count_now"))
+    counted = players.groupBy("alliance").agg(F.count("*").alias("n_rows"))
+    seen = counted.select("alliance", "n_rows", F.coalesce(corrected(F.col("alliance"), fixes), normal_label(F.col("alliance"))).alias("label"), corrected(F.col("alliance"), fixes).isNotNull().alias("manual"))
+    now = seen.groupBy("label").agg(F.sum("n_rows").alias("count_now"))
     every = now.join(known.select("label").distinct().withColumn("prior", F.lit(True)), "label", "full").select("label", F.coalesce("count_now", F.lit(0)).alias("count_now"), F.coalesce("prior", F.lit(False)).alias("prior"))
     parts = every.withColumn("tag", label_tag(F.col("label"))).withColumn("name", label_name(F.col("label")))
     parts = parts.withColumn("fold", casefold("name")).withColumn("key", confusable_key(F.col("tag"))).withColumn("fused", fused_forms(F.col("tag")))
