@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from podium.llm.canonical import edits, seen
 from podium.llm.normalize import plain
 from podium.llm.variants import NICKNAMES, group_tokens, letters, name_likeness, person_tokens, same_company
+from podium.session import durable
 
 #: Hashed vocabulary and length of the vectors.
 BUCKETS, WIDTH = 1 << 15, 48
@@ -350,22 +351,32 @@ def _ready(pdf: pd.DataFrame, repeats: bool) -> pd.DataFrame:
     return pdf.assign(place=[place_of(s) for s in pdf.server], points=pdf.points.astype(float), commander=pdf.commander.where(pdf.commander.notna(), None), alliance=pdf.alliance.where(pdf.alliance.notna(), None)).reset_index(drop=True)
 
 
-def fit_index(board: DataFrame, posted: DataFrame, seed: int = 5) -> Index:
-    """The index, fitted on walks from at most WALK_RECORDS records of both tables, taken by hashed id."""
-    columns = ["commander", "alliance", "server", "points", "context"]
+def _share(df: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the ``rows`` rows of ``df``, by hashed id; the same ones whatever the partitions."""
+    return df.where(F.pmod(F.xxhash64("id"), F.lit(max(1, rows // max(wanted, 1)))) == 0)
+
+
+def fit_index(board: DataFrame, posted: DataFrame, counts: DataFrame, seed: int = 5) -> Index:
+    """The index, fitted on walks from about WALK_RECORDS records of both tables, taken by hashed id.
+
+    ``counts`` has the rows of each context in both tables (``context, n_board,
+    n_posted``).  Tasks send only what the sample takes, never a prefix each.
+    """
+    total = counts.agg(F.sum("n_board").alias("b"), F.sum("n_posted").alias("p")).first()
+    columns = ["commander", "alliance", "server", "points"]
     picked = []
-    for df, share in ((board, 2), (posted, 1)):
-        n = WALK_RECORDS * share // 3
-        rows = df.select(*columns, "id").orderBy(F.xxhash64("id"), "id").limit(n).collect()
-        picked += [(name_ids(r.commander), group_ids(r.alliance), place_ids(place_of(r.server)), amount_ids(r.points)) for r in rows]
+    for df, rows, share in ((board, total.b or 0, 2), (posted, total.p or 0, 1)):
+        found = _share(df, rows, WALK_RECORDS * share // 3).select(*columns, "id").collect()
+        picked += [(name_ids(r.commander), group_ids(r.alliance), place_ids(place_of(r.server)), amount_ids(r.points)) for r in sorted(found, key=lambda r: r.id)]
     rng = np.random.default_rng(seed + 1)
     index = Index(train(picked, seed), rng.standard_normal((3, TABLES, WIDTH, 16)).astype(np.float32))
-    some = [r[0] for r in posted.select("context").distinct().orderBy(F.xxhash64("context"), "context").limit(CALIBRATE_CONTEXTS).collect()]
+    some = counts.where("n_board > 0 and n_posted > 0").orderBy(F.xxhash64("context"), "context").limit(CALIBRATE_CONTEXTS).collect()
     if not some:
         return index
-    left = board.where(F.col("context").isin(some)).orderBy("id").limit(CALIBRATE_ROWS).toPandas()
-    right = posted.where(F.col("context").isin(some)).orderBy("id").limit(CALIBRATE_ROWS).toPandas()
-    pairs = [x for c in some for x in candidates(index, _ready(left[left.context == c], True), _ready(right[right.context == c], False), exhaustive=True)]
+    names = [r.context for r in some]
+    left = _share(board.where(F.col("context").isin(names)), sum(r.n_board for r in some), CALIBRATE_ROWS).toPandas().sort_values("id")
+    right = _share(posted.where(F.col("context").isin(names)), sum(r.n_posted for r in some), CALIBRATE_ROWS).toPandas().sort_values("id")
+    pairs = [x for c in names for x in candidates(index, _ready(left[left.context == c], True), _ready(right[right.context == c], False), exhaustive=True)]
     return calibrate(index, pd.DataFrame(pairs, columns=_COLUMNS))
 
 
@@ -401,8 +412,10 @@ def match_records(board: DataFrame, posted: DataFrame, accept: float = ACCEPT, h
     spark = board.sparkSession
     board = board.where("context is not null and id is not null")
     posted = posted.where("context is not null and id is not null")
-    index = fit_index(board, posted)
-    hot = [r[0] for r in board.groupBy("context").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("context").limit(10_001).collect()]
+    each = board.select("context", F.lit(1).alias("b"), F.lit(0).alias("p")).unionAll(posted.select("context", F.lit(0), F.lit(1)))
+    counts = durable(each.groupBy("context").agg(F.sum("b").alias("n_board"), F.sum("p").alias("n_posted")))
+    index = fit_index(board, posted, counts)
+    hot = [r[0] for r in counts.where(F.col("n_board") > hot_rows).select("context").limit(10_001).collect()]
     spread_all = len(hot) > 10_000
     shared = spark.sparkContext.broadcast(index)
 
