@@ -117,6 +117,16 @@ def raw_bytes(run: str, codec: str) -> list[int | None] | None:
     return out
 
 
+def strict(raw: list[int | None]) -> str | None:
+    """``raw`` as UTF-8 if no byte is lost and all sequences are whole."""
+    if None in raw:
+        return None
+    try:
+        return bytes(raw).decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+
+
 class Model:
     """Runs that are common in the corpus, and the letters and bigrams of which they consist."""
 
@@ -174,34 +184,37 @@ class Model:
                     window = raw[at : at + size]
                     if len(window) == size and all(w is None or w == x for w, x in zip(window, code)):
                         options.append((c, size, sum(w is None for w in window)))
-                    elif size > 2 and b is not None and window[: size - 1] == list(code[: size - 1]) and (len(window) < size or (window[-1] or 0) < 0x80):
+                    elif size > 2 and b is not None and window[: size - 1] == list(code[: size - 1]) and (len(window) < size or not 0x80 <= (window[-1] or 0) < 0xC0):
                         options.append((c, size - 1, 1))  # the last byte was dropped
-                    elif size == 2 and b is not None and (len(window) < 2 or (window[-1] is not None and window[-1] < 0x80)) and code[1] in (0x80, 0x81, 0x8D, 0x8F, 0x90, 0x9D, 0xA0, 0xAD):
+                    elif size == 2 and b is not None and (len(window) < 2 or (window[-1] is not None and not 0x80 <= window[-1] < 0xC0)) and code[1] in (0x80, 0x81, 0x8D, 0x8F, 0x90, 0x9D, 0xA0, 0xAD):
                         options.append((c, 1, 1))
             for score, text, lost in paths:
                 for c, size, gone in options:
                     beams[at + size].append((score + self.step(text[-1:] or " ", c) - 2.0 * gone, text + c, lost + gone))
         return [text for _, text, _ in sorted(beams[-1], reverse=True)[:width]]
 
-    def spellings(self, run: str) -> Iterator[tuple[str, str]]:
-        """(channel, clean spelling) for every way ``run`` may have been misread."""
+    def spellings(self, run: str) -> Iterator[tuple[str, str, bool]]:
+        """(channel, clean spelling, whether all its bytes are there) for every way ``run`` may have been misread."""
         wild = LOST in run or "?" in run
         for codec in MISREAD_UTF8:
             raw = raw_bytes(run, codec)
             if raw is None or not any(b is not None and b >= 0xC2 for b in raw):
                 continue
-            for text in self.decode(raw):
-                if text != run:
-                    yield f"utf-8 as {codec}", text
-                    again = raw_bytes(text, "cp1252")
-                    if again and any(b is not None and b >= 0xC2 for b in again):
-                        for deeper in self.decode(again, 3):
-                            if deeper != text:
-                                yield f"utf-8 as {codec} twice", deeper
+            exact = strict(raw)
+            for text in dict.fromkeys([*([exact] if exact else []), *self.decode(raw)]):
+                if text == run:
+                    continue
+                yield f"utf-8 as {codec}", text, text == exact
+                again = raw_bytes(text, "cp1252")
+                if again and any(b is not None and b >= 0xC2 for b in again):
+                    deep = strict(again)
+                    for deeper in dict.fromkeys([*([deep] if deep else []), *self.decode(again, 3)]):
+                        if deeper != text:
+                            yield f"utf-8 as {codec} twice", deeper, deeper == deep and text == exact
         if wild:
             mask = run.replace(LOST, "?")
             if mask in self.masked:
-                yield "lost", self.masked[mask][0]
+                yield "lost", self.masked[mask][0], False
             return
         for x, y in MISREAD_BYTE:
             if x == "gbk":
@@ -215,7 +228,7 @@ class Model:
                     continue
                 text = run.translate(table)
             if text != run:
-                yield f"{y} as {x}", text
+                yield f"{y} as {x}", text, True
 
     def judge(self, run: str) -> tuple[str, str, float]:
         """(channel or empty, clean spelling, weight of the evidence) of a run.
@@ -229,7 +242,7 @@ class Model:
         here = self.counts.get(run, 0)
         best, best_score = ("", run, 0.0), 0.0
         own = self.likelihood(run)
-        for channel, text in self.spellings(run):
+        for channel, text, complete in self.spellings(run):
             there = self.counts.get(text, 0)
             utf8 = channel.startswith("utf-8")
             if channel == "lost":
@@ -244,7 +257,7 @@ class Model:
                     weight = 3.0 if _LETTER.search(run) else 5.0  # a sign that is never seen reads as one that always is
                 elif not utf8 and not _shape(run):
                     weight += 2.0
-            elif utf8 and here < LEAST + SHARE * self.documents * 4:
+            elif utf8 and complete and here < LEAST + SHARE * self.documents * 4:
                 gain = self.likelihood(text) - own
                 if gain <= 2.0 or not _shape(text):
                     continue
@@ -279,8 +292,8 @@ class Model:
         if sure:
             main = max(sure, key=lambda c: weight[c])
             for run in unsure:  # rarer words of a passage that went through the same channel
-                for channel, clean in self.spellings(run):
-                    if channel == main and self.likelihood(clean) > self.likelihood(run) + 2 and _shape(clean):
+                for channel, clean, complete in self.spellings(run):
+                    if channel == main and complete and self.likelihood(clean) > self.likelihood(run) + 2 and _shape(clean):
                         change[run] = clean
                         break
         if "?" in text and _LOST_SIGN.search(text):

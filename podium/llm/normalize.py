@@ -101,14 +101,24 @@ def plain(text: str | None) -> str | None:
         return text
     out = unicodedata.normalize("NFKC", _visible(text))
     out = _SPACE.sub(" ", _visible(out)).strip()
-    return _WORD.sub(lambda m: _one_script(m.group()), out)
+    return unicodedata.normalize("NFKC", _WORD.sub(lambda m: _one_script(m.group()), out))
 
 
 def folded(text: str | None) -> str | None:
-    """The comparison key of ``text``: plain form, case folded, normalised; null stays null."""
+    """The comparison key of ``text``: plain form, case folded, until neither changes it; null stays null.
+
+    Folding can bring letters to a pair of look-alikes (V and nu), so the plain
+    form is taken again.
+    """
     if text is None:
         return None
-    return unicodedata.normalize("NFKC", plain(text).casefold())
+    out = plain(text).casefold()
+    for _ in range(4):
+        again = plain(out).casefold()
+        if again == out:
+            break
+        out = again
+    return out
 
 
 def skeleton(text: str) -> str:
