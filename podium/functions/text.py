@@ -29,7 +29,7 @@ FUSED = "UIJ1ulij|"
 
 def _each(values: pd.Series, function) -> pd.Series:
     made = {v: function(v) for v in values.dropna().unique()}
-    return values.map(made)
+    return pd.Series([made.get(v) if isinstance(v, str) else None for v in values], index=values.index, dtype=object)
 
 
 @F.pandas_udf(StringType())

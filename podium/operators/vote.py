@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.functions.text import UNREADABLE, name_key
+from podium.session import durable
 
 #: Where on the screen readings are best, fixed value.
 CENTRE = 0.45
@@ -63,8 +64,9 @@ def vote_name(readings: DataFrame, keys: list[str], name: str = "commander", key
     Ties of cores go to the one read nearest the centre, of spellings to the
     first seen.  Names of symbols only vote under the empty core.
     """
-    named = readings.where(F.col(name).isNotNull() & (F.col(name) != "")).withColumn("_core", key if key is not None else name_key(F.col(name)))
-    forms = named.groupBy(*keys, "_core", name).agg(F.count("*").alias("n"), F.min(F.struct(distance().alias("d"), F.col("seq").alias("s"))).alias("k"), F.min("seq").alias("s"))
+    named = readings.where(F.col(name).isNotNull() & (F.col(name) != ""))
+    forms = named.groupBy(*keys, name).agg(F.count("*").alias("n"), F.min(F.struct(distance().alias("d"), F.col("seq").alias("s"))).alias("k"), F.min("seq").alias("s"))
+    forms = forms.withColumn("_core", key if key is not None else name_key(F.col(name)))
     cores = forms.groupBy(*keys, "_core").agg(F.sum("n").alias("n"), F.min("k").alias("k"), F.min(F.struct((-F.col("n")).alias("m"), "s", F.col(name).alias("v"))).alias("f"))
     out = cores.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("m"), "k", F.col("f.v").alias("v"))).alias("b"), F.sum("n").alias("all"))
     return out.select(*keys, F.col("b.v").alias(name), F.bround(-F.col("b.m") / F.col("all"), 3).alias("agreement"))
@@ -114,7 +116,8 @@ def merge_readings(readings: DataFrame, keys: list[str]) -> DataFrame:
     tainted, name_unreadable``.  A null server votes (it is home).  Where no
     name could be read but a row was seen, the name is a fixed text.
     """
-    pool = best_tier(readings, keys)
+    fields = ["commander", "alliance", "server", "points", "y", "seq", "name_unreadable", "n_obs", "n_clean", "used_tainted"]
+    pool = durable(best_tier(readings, keys).select(*keys, *fields))
     facts = pool.groupBy(*keys).agg(F.first("n_obs").alias("n_obs"), F.first("n_clean").alias("n_clean"), F.first("used_tainted").alias("used_tainted"), F.max(F.coalesce("name_unreadable", F.lit(False))).alias("name_unreadable"))
     points = vote(pool, keys, "points").select(*keys, "points", F.col("agreement").alias("points_agreement"))
     alliance = vote(pool, keys, "alliance").select(*keys, F.coalesce("alliance", F.lit("")).alias("alliance"), F.col("agreement").alias("alliance_agreement"))
