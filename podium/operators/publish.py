@@ -81,3 +81,33 @@ def previous_of(rows: DataFrame, group: list[str], order: str, fields: list[str]
     """``rows`` with ``previous_<field>`` from the row before it in its group."""
     per = Window.partitionBy(*group).orderBy(order)
     return rows.select("*", *[F.lag(f).over(per).alias(f"previous_{f}") for f in fields])
+
+
+def event_id(date, home, opponent):
+    """The id of an event: date, home and opponent."""
+    return F.concat(date.cast("string"), F.lit("-s"), home, F.lit("-vs-s"), opponent)
+
+
+def script_name(event):
+    """The variable that holds an event's data in a script bundle."""
+    return F.concat(F.lit("EVENT_"), F.translate(event, "-", "_"))
+
+
+def role_label(server, home, opponent, home_role):
+    """What a server did in an event, in words; null if the home role is not known."""
+    other = F.when(home_role == "attacking", "defending").when(home_role == "defending", "attacking")
+    return F.when(server == home, F.initcap(home_role)).when(server == opponent, F.initcap(other)).otherwise(F.when(home_role.isNotNull(), F.lit("Cross-server")))
+
+
+def resolve_matchup(given, detected, forced=None):
+    """The given value, else the detected one; an error if both are missing, or differ without ``forced``."""
+    force = F.lit(False) if forced is None else F.coalesce(forced, F.lit(False))
+    chosen = F.coalesce(given, detected)
+    missing = F.when(chosen.isNull(), F.raise_error(F.lit("the matchup is not known")).cast("string"))
+    conflict = F.when((given != detected) & ~force, F.raise_error(F.concat(F.lit("given and detected matchup differ: "), given, F.lit(", "), detected)).cast("string"))
+    return F.coalesce(missing, conflict, chosen)
+
+
+def messages(keys, texts):
+    """A translation table from its keys and one language's texts in the same order; lengths must agree."""
+    return F.when(F.size(keys) != F.size(texts), F.raise_error(F.lit("as many texts as keys are needed")).cast("map<string,string>")).otherwise(F.map_from_arrays(keys, texts))

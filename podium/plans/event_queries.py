@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.operators import evidence, frames, history, rollup
+from podium.operators import evidence, frames, history, legacy, publish, rollup
 from podium.plans.boards import BOARD_SQL, MANIFEST_SQL, board, manifest
 from podium.session import table
 
@@ -150,6 +150,21 @@ def frame_parse(s: SparkSession, d: str) -> DataFrame:
     return parsed.select("frame", "rank", "commander", "alliance", "server", "points", "complete", "tainted")
 
 
+def frame_parse_v1(s: SparkSession, d: str) -> DataFrame:
+    """The board read back from its screens by the first version's rules."""
+    parsed = legacy.parse_frames_v1(_screens(s, d))
+    return parsed.select("frame", "rank", "commander", "alliance", "points", F.round("score", 6).alias("score"))
+
+
+def event_labels(s: SparkSession, d: str) -> DataFrame:
+    """Ids, script names and roles of the servers of published events."""
+    rows = manifest(s, d).withColumn("server", F.explode(F.array("home_server", "opponent_server", F.lit("9999"))))
+    made = publish.event_id(F.col("event_date"), F.col("home_server"), F.col("opponent_server"))
+    role = publish.role_label(F.col("server"), F.col("home_server"), F.col("opponent_server"), F.col("home_role"))
+    sure = publish.resolve_matchup(F.col("opponent_server"), F.col("opponent_server"))
+    return rows.select("event_id", "server", made.alias("made_id"), publish.script_name(made).alias("script_name"), role.alias("role"), sure.alias("opponent"))
+
+
 def affine_fit(s: SparkSession, d: str) -> DataFrame:
     """Screens of another size brought back: the board's screens with a header, scaled and moved."""
     screens = _screens(s, d)
@@ -173,7 +188,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         event_trend_delta, rank_movement, player_profiles, did_not_place, alias_identity, tier_sums, tier_difference, score_brackets, same_side_delta, top_alliances_per_server, qualifying_alliances, active_players,
-        search_page, first_seen_per_frame, terminal_stall, bottom_stop, latest_centre, nearest_slot_join, region_filter, frame_parse, affine_fit, screen_matchup,
+        search_page, first_seen_per_frame, terminal_stall, bottom_stop, latest_centre, nearest_slot_join, region_filter, frame_parse, frame_parse_v1, event_labels, affine_fit, screen_matchup,
     )
 }
 
@@ -221,6 +236,12 @@ ORACLE = {
     "region_filter": """WITH b AS (SELECT user_id::VARCHAR AS frame, event_id AS seq, event_type AS text, (event_id % 100) / 100.0 AS cx, 1 - (floor(value) % 100) / 100.0 AS cy FROM events)
       SELECT frame, min(seq) AS seq, arg_min(text, seq) AS text FROM b WHERE regexp_matches(text, '^(click|purchase|view)', 'i') AND cx BETWEEN 0.2 AND 0.8 AND cy BETWEEN 0.1 AND 0.9 GROUP BY frame""",
     "frame_parse": f"WITH {_SCREEN} SELECT frame, rank, trim(commander) AS commander, trim(alliance) AS alliance, server, points, true AS complete, false AS tainted FROM drawn",
+    "frame_parse_v1": f"""WITH {_SCREEN}, r AS (SELECT frame, rank, trim(commander) AS commander, trim(alliance) || ' S' || server AS alliance, points, 0.78 - ((rank - 1) % 7) * 0.0927::DOUBLE AS y FROM drawn),
+      every AS (SELECT * FROM r UNION ALL SELECT frame, 2, '', '', NULL, (max(y) FILTER (rank = 1) + max(y) FILTER (rank = 3)) / 2 FROM r GROUP BY frame HAVING count(*) FILTER (rank = 1) > 0 AND count(*) FILTER (rank = 3) > 0 AND count(*) FILTER (rank = 2) = 0)
+      SELECT frame, rank, commander, alliance, points, round(100 - 50 * abs(y - 0.45) + CASE WHEN points IS NOT NULL THEN 30 ELSE 0 END + CASE WHEN commander <> '' THEN 20 ELSE 0 END + CASE WHEN alliance <> '' THEN 10 ELSE 0 END, 6) AS score FROM every""",
+    "event_labels": f"""WITH {MANIFEST_SQL}, s AS (SELECT *, unnest([home_server, opponent_server, '9999']) AS server FROM manifest)
+      SELECT event_id, server, event_date || '-s' || home_server || '-vs-s' || opponent_server AS made_id, 'EVENT_' || replace(event_date || '-s' || home_server || '-vs-s' || opponent_server, '-', '_') AS script_name,
+        CASE WHEN server = home_server THEN upper(home_role[1]) || home_role[2:] WHEN server = opponent_server THEN CASE home_role WHEN 'attacking' THEN 'Defending' WHEN 'defending' THEN 'Attacking' END WHEN home_role IS NOT NULL THEN 'Cross-server' END AS role, opponent_server AS opponent FROM s""",
     "affine_fit": f"""WITH {_SCREEN}, b AS (SELECT frame, rank * 10 + k AS seq, x, 0.78 - ((rank - 1) % 7) * 0.0927 + dy AS y FROM drawn, (VALUES (0, 0.1, 0.0), (1, 0.4, 0.02), (2, 0.4, 0.0), (3, 0.4, -0.02), (4, 0.8, 0.0)) v(k, x, dy))
       SELECT frame, seq, round(x::DOUBLE, 6) AS x, round(y::DOUBLE, 6) AS y FROM b""",
     "screen_matchup": f"WITH {MANIFEST_SQL} SELECT event_id AS frame, home_role, opponent_server AS opponent, true AS battle_over, 'victory' AS home_result FROM manifest WHERE home_role IS NOT NULL AND home_server IN ('1001', '1002', '1003', '1004') AND opponent_server <> home_server",

@@ -136,3 +136,26 @@ def test_stream_votes_and_progress(spark, tmp_path):
     progress.stop()
     ends = [r.frame_no for r in spark.table("progress").where("at_end").orderBy("frame_no").collect()]
     assert ends == [10, 11] or ends == [11]
+
+
+def test_first_version_rows(spark):
+    from podium.operators import legacy
+
+    boxes = row("f", 0, "1", 0.7) + [("f", 50, "3", 0.1, 0.5, 0.05, 0.02), ("f", 51, "news", 0.1, 0.6, 0.8, 0.02)]
+    got = {r["rank"]: r for r in legacy.parse_frames_v1(spark.createDataFrame(boxes, BOXES)).collect()}
+    assert (got[1].commander, got[1].alliance, got[1].points) == ("Name", "[T] Team S113", 1000)
+    assert (got[2].commander, got[2].points, round(got[2].y, 3)) == ("", None, 0.6)
+    assert legacy.parse_frames_v1(spark.createDataFrame([], BOXES)).count() == 0
+
+
+def test_matchup_given_or_detected(spark):
+    import pytest
+    from podium.operators import publish
+
+    rows = spark.createDataFrame([("119", None, False), (None, "113", False), ("119", "113", True)], "g string, d string, f boolean")
+    assert [r.v for r in rows.select(publish.resolve_matchup(F.col("g"), F.col("d"), F.col("f")).alias("v")).collect()] == ["119", "113", "119"]
+    for bad in ((None, None), ("119", "113")):
+        with pytest.raises(Exception):
+            spark.createDataFrame([bad], "g string, d string").select(publish.resolve_matchup(F.col("g"), F.col("d"))).collect()
+    words = spark.createDataFrame([(["a", "b"], ["x", "y"])], "k array<string>, v array<string>").select(publish.messages(F.col("k"), F.col("v")).alias("m")).first().m
+    assert words == {"a": "x", "b": "y"}
