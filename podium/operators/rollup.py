@@ -33,9 +33,10 @@ def alliance_standings(players: DataFrame) -> DataFrame:
     """
     keys = ["event_id", "alliance"]
     top = F.max(F.struct(_points().alias("points"), (-F.col("pos")).alias("p"), "commander", "rank"))
-    rolled = players.groupBy(*keys).agg(F.count("*").alias("members_count"), F.sum(_points()).alias("total_points"), top.alias("_t"), F.min("pos").alias("first_pos"))
-    server = dominant(players, keys, "server")
-    joined = rolled.alias("r").join(server.alias("s"), F.expr("r.event_id <=> s.event_id and r.alliance <=> s.alliance")).select("r.*", "s.server")
+    # One pass: totals by server first, of which the sums are the alliance's and the greatest count its server.
+    by_server = players.groupBy(*keys, "server").agg(F.count("*").alias("n"), F.sum(_points()).alias("s"), top.alias("t"), F.min("pos").alias("p"))
+    most = F.min(F.struct((-F.col("n")).alias("m"), "p", F.col("server").alias("v")))
+    joined = by_server.groupBy(*keys).agg(F.sum("n").alias("members_count"), F.sum("s").alias("total_points"), F.max("t").alias("_t"), F.min("p").alias("first_pos"), most.alias("_d")).withColumn("server", F.col("_d.v"))
     ranked = joined.withColumn("rank", F.row_number().over(Window.partitionBy("event_id").orderBy(F.desc("total_points"), "first_pos")))
     ranked = ranked.withColumn("server_rank", F.row_number().over(Window.partitionBy("event_id", "server").orderBy("rank")))
     return ranked.select(

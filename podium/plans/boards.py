@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podium.session import table
@@ -17,10 +17,10 @@ BOARD_SQL = """board AS (
 
 def board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final list of each event with ``pos``; of rows delivered again that with the least row_id."""
-    fields = ["commander", "alliance", "alliance_tag", "alliance_name", "server", "points", "row_id"]
-    rows = table(spark, sf_dir, "rankings").where("scan_kind = 'final'").select("event_id", "scan_id", "rank", *fields)
-    first = rows.groupBy("event_id", "scan_id", "rank").agg(F.min_by(F.struct(*fields), "row_id").alias("r"))
-    return first.select("event_id", "scan_id", "rank", F.col("rank").cast("bigint").alias("pos"), "r.*")
+    rows = table(spark, sf_dir, "rankings").where("scan_kind = 'final'")
+    first = F.row_number().over(Window.partitionBy("event_id", "scan_id", "rank").orderBy("row_id"))
+    once = rows.withColumn("_n", first).where("_n = 1")  # Spark keeps one row of each group before the shuffle and reads only columns in use
+    return once.select("event_id", "scan_id", "rank", F.col("rank").cast("bigint").alias("pos"), "commander", "alliance", "alliance_tag", "alliance_name", "server", "points", "row_id")
 
 
 #: Every row of a scan as a reading of its rank.
