@@ -14,38 +14,42 @@ from podium.functions.text import name_key, nfkc_fold
 NEAR = 2
 
 
+def _disagreement(a: dict, b: dict) -> int:
+    """0 if two rows agree in server and alliance, 1 if not in alliance, 2 and more if not in server."""
+    return 2 * (a["server"] != b["server"]) + (a["group"] != b["group"])
+
+
 def pair_players(early: list[dict], later: list[dict], home: str) -> dict[int, int]:
     """Positions in ``early`` and ``later`` of the same players, each used once.
 
-    First those of equal name keys, preferring the same server, then the same
-    alliance, then list order.  A missing server means home, whose number the
-    exact pairs vote on (``home`` without votes).  Then names up to two edits
-    apart, of the same server and alliance, if exactly one is free and the name
-    itself does not occur later.
+    Rows of equal name keys are paired key by key, each early row with the
+    later one it disagrees with least.  A missing server means home; its number
+    is the one most pairs of such rows give (first met on ties), else ``home``.
+    Rows left over are paired with a name up to two edits away in the same
+    server and alliance, if it is the only one and the name itself does not
+    occur later.
     """
-    places = defaultdict(list)
+    bags: dict[str, list[int]] = defaultdict(list)
     for i, row in enumerate(later):
-        places[row["key"]].append(i)
-    free, pairs, votes = set(range(len(later))), {}, Counter()
+        bags[row["key"]].append(i)
+    known, pairs, homes = set(bags), {}, []
     for n, row in enumerate(early):
-        open_places = [i for i in places.get(row["key"], ()) if i in free]
-        if open_places:
-            best = min(open_places, key=lambda i: (row["server"] != later[i]["server"], row["group"] != later[i]["group"], i))
-            pairs[n] = best
-            free.discard(best)
-            if not row["server"]:
-                votes[later[best]["server"]] += 1
-    home = votes.most_common(1)[0][0] if votes else home
-    blocks = defaultdict(list)
-    for i, row in enumerate(later):
-        blocks[row["server"] or home, row["group"]].append(i)
+        bag = bags.get(row["key"])
+        if bag:
+            pairs[n] = bag.pop(min(range(len(bag)), key=lambda k: _disagreement(row, later[bag[k]])))
+            homes += [later[pairs[n]]["server"]] * (not row["server"])
+    if homes:
+        home = Counter(homes).most_common(1)[0][0]
+    place = lambda row: (row["server"] or home, row["group"])
+    rest: dict[tuple, list[int]] = defaultdict(list)
+    for i in sorted(i for bag in bags.values() for i in bag):
+        rest[place(later[i])].append(i)
     for n, row in enumerate(early):
-        if n in pairs or not row["key"] or row["key"] in places:
-            continue
-        near = [i for i in blocks.get((row["server"] or home, row["group"]), ()) if i in free and within(row["key"], later[i]["key"], NEAR)]
-        if len(near) == 1:
-            pairs[n] = near[0]
-            free.discard(near[0])
+        if n not in pairs and row["key"] and row["key"] not in known:
+            near = [i for i in rest[place(row)] if within(row["key"], later[i]["key"], NEAR)]
+            if len(near) == 1:
+                pairs[n] = near[0]
+                rest[place(row)].remove(near[0])
     return pairs
 
 

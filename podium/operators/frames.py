@@ -34,14 +34,17 @@ CLOSE_MARKS = ["X", "x", "×", "✕", "✖"]
 def cluster_means(heights: pd.Series) -> pd.Series:
     """Means of clusters of descending ``heights``: each joins the first cluster whose mean is near, or begins one."""
     def means(values) -> list[float]:
-        clusters: list[list[float]] = []
+        sums: list[float] = []
+        sizes: list[int] = []
         for y in values if values is not None else ():
-            home = next((c for c in clusters if abs(y - sum(c) / len(c)) < CLUSTER), None)
-            if home is None:
-                clusters.append([y])
+            for k, (total, n) in enumerate(zip(sums, sizes)):
+                if abs(y - total / n) < CLUSTER:
+                    sums[k], sizes[k] = total + y, n + 1
+                    break
             else:
-                home.append(y)
-        return sorted((sum(c) / len(c) for c in clusters), reverse=True)
+                sums.append(y)
+                sizes.append(1)
+        return sorted((total / n for total, n in zip(sums, sizes)), reverse=True)
 
     return heights.map(means)
 

@@ -30,7 +30,7 @@ def test_keys(spark):
 
 
 def test_server_codes(spark):
-    rows = [("113", "[A] B"), ("S113", "[A] B"), (None, "[113] MEXICO113"), (None, "[ALIN] Alliance S113"), ("", "x")]
+    rows = [("113", "[A] B"), ("S113", "[A] B"), (None, "[113] PANAMA113"), (None, "[FERN] Alliance S113"), ("", "x")]
     got = spark.createDataFrame(rows, "s string, l string").select(server_code(F.col("s"), F.col("l"), "117").alias("v")).collect()
     assert [r.v for r in got] == ["113", "113", "117", "113", "117"]
 
@@ -103,10 +103,10 @@ def test_checks(spark):
 def test_consolidation_and_repairs(spark):
     df = players(spark, *[(i, "c", "[IO] Team", "1", 1) for i in range(1, 4)], (4, "c", "[l0] Team", "1", 1), (5, "c", "No Alliance", "1", 1))
     assert [(r.variant, r.canonical, r.n) for r in clean.consolidate_labels(df, ["event_id"]).collect()] == [("[l0] Team", "[IO] Team", 1)]
-    known = spark.createDataFrame([("[JQK] JQKKK",), ("[ABL] Team",)], "label string")
-    now = players(spark, (1, "c", "UJQKI JQKKK", "1", 1), (2, "c", "UXXXI Other", "1", 1), (3, "c", "[AB1] Team", "1", 1), (4, "c", None, "1", 1))
+    known = spark.createDataFrame([("[GRK] Garlock",), ("[ABL] Team",)], "label string")
+    now = players(spark, (1, "c", "UGRKI Garlock", "1", 1), (2, "c", "UXXXI Other", "1", 1), (3, "c", "[AB1] Team", "1", 1), (4, "c", None, "1", 1))
     got = {r.alliance: (r.after, r.reason, list(r.reviews)) for r in clean.label_repairs(now, known).collect()}
-    assert got["UJQKI JQKKK"][:2] == ("[JQK] JQKKK", "bracket repair")
+    assert got["UGRKI Garlock"][:2] == ("[GRK] Garlock", "bracket repair")
     assert got["UXXXI Other"][0] == "UXXXI Other"
     assert got["[AB1] Team"][:2] == ("[ABL] Team", "known alliance")
     many = players(spark, *[(i, "c", "[AB1] Team", "1", 1) for i in range(1, 50)])
@@ -178,11 +178,11 @@ def test_registry_rules(spark):
     rows = spark.createDataFrame([("f1", "old", 0), ("f2", "k", 1), ("f1", "new", 2), (None, "p", 3), (None, "q", 4)], "id string, v string, pos bigint")
     assert [(r.id, r.v) for r in publish.latest_wins(rows, "id").orderBy("pos").collect()] == [("f1", "new"), ("f2", "k"), (None, "p"), (None, "q")]
     tags = "event_id string, tag string, server string, total_points bigint, rank int"
-    standings = spark.createDataFrame([("e", "P1MP", "1", 3_000_000, 1), ("e", "UOU", "1", 1_000_000, 2), ("e", "LOW", "1", 999_999, 3), ("e", "", "1", 5_000_000, 4), ("e", "OPP", "2", 9_000_000, 5)], tags)
+    standings = spark.createDataFrame([("e", "AA1B", "1", 3_000_000, 1), ("e", "BEB", "1", 1_000_000, 2), ("e", "WEAK", "1", 999_999, 3), ("e", "", "1", 5_000_000, 4), ("e", "OPP", "2", 9_000_000, 5)], tags)
     wanted = publish.allow_list(standings, "1", 1_000_000)
-    assert sorted(r.tag for r in wanted.collect()) == ["P1MP", "UOU"]
-    held = spark.createDataFrame([("e", "p1mp"), ("e", "LOW"), ("e", "GONE")], "event_id string, tag string")
-    assert sorted((r.tag, r.action) for r in publish.list_difference(wanted, held).collect()) == [("GONE", "remove"), ("LOW", "remove"), ("UOU", "add")]
+    assert sorted(r.tag for r in wanted.collect()) == ["AA1B", "BEB"]
+    held = spark.createDataFrame([("e", "aa1b"), ("e", "WEAK"), ("e", "PAST")], "event_id string, tag string")
+    assert sorted((r.tag, r.action) for r in publish.list_difference(wanted, held).collect()) == [("BEB", "add"), ("PAST", "remove"), ("WEAK", "remove")]
 
 
 def test_captures(spark):
