@@ -186,8 +186,11 @@ def first_per_region(boxes: DataFrame, pattern: str, x_low: float, x_high: float
     return hits.groupBy("frame").agg(F.min(F.struct("seq", "text", "x", "y")).alias("b")).select("frame", "b.*")
 
 
-def screen_matchup(boxes: DataFrame, home: str) -> DataFrame:
-    """``frame, home_role, opponent, battle_over, home_result`` read from a screen of two sides; frames that do not show both are left out."""
+def screen_matchup(boxes: DataFrame, home: str | DataFrame) -> DataFrame:
+    """``frame, home_role, opponent, battle_over, home_result`` read from a screen of two sides; frames that do not show both are left out.
+
+    ``home`` is the home server of all frames, or a table with that of each (``frame, home``).
+    """
     side = (F.col("x") + F.col("width") / 2 >= 0.5).cast("int")
     rows = boxes.withColumn("side", side).withColumn("t", F.lower(F.trim("text")))
     role = F.when(F.col("t").rlike(r"^\W*defender\W*$"), "defending").when(F.col("t").rlike(r"^\W*invader\W*$"), "attacking")
@@ -200,5 +203,6 @@ def screen_matchup(boxes: DataFrame, home: str) -> DataFrame:
     result = words.groupBy("frame", "side").agg(F.when(F.countDistinct("t") == 1, F.max("t")).alias("result"))
     sides = top.join(result, ["frame", "side"], "left")
     over = rows.groupBy("frame").agg(F.max(F.col("t").rlike(r"^battle\s+over$")).alias("battle_over"))
-    mine, theirs = sides.where(F.col("server") == home).select("frame", F.col("role").alias("home_role"), F.col("result").alias("home_result")), sides.where(F.col("server") != home).select("frame", F.col("server").alias("opponent"), F.col("role").alias("other_role"))
+    sides = sides.withColumn("home", F.lit(home)) if isinstance(home, str) else sides.join(home.select("frame", "home"), "frame")
+    mine, theirs = sides.where("server = home").select("frame", F.col("role").alias("home_role"), F.col("result").alias("home_result")), sides.where("server <> home").select("frame", F.col("server").alias("opponent"), F.col("role").alias("other_role"))
     return mine.join(theirs, "frame").where("home_role <> other_role").join(over, "frame").select("frame", "home_role", "opponent", "battle_over", "home_result")

@@ -174,14 +174,14 @@ def affine_fit(s: SparkSession, d: str) -> DataFrame:
 
 
 def screen_matchup(s: SparkSession, d: str) -> DataFrame:
-    """The sides of every published event read from a drawn matchup screen of server 1001 or the home server."""
+    """The sides of every published event read from a drawn matchup screen, each from its home server."""
     rows = manifest(s, d).where("home_role is not null")
     box = lambda k, text, x, y: F.struct(F.lit(k).alias("seq"), text.alias("text"), F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(0.1).alias("width"), F.lit(0.02).alias("height"))
     role = lambda yes: F.when(F.col("home_role") == "defending", yes).otherwise("Invader" if yes == "Defender" else "Defender")
     parts = F.array(box(1, role("Defender"), 0.2, 0.8), box(2, F.concat(F.lit("S"), "home_server"), 0.2, 0.7), box(3, role("Invader"), 0.7, 0.8), box(4, F.concat(F.lit("S "), "opponent_server"), 0.7, 0.7), box(5, F.lit("Victory"), 0.2, 0.75), box(6, F.lit("Battle  Over"), 0.45, 0.4))
-    drawn = rows.select(F.col("event_id").alias("frame"), "home_server", F.explode(parts).alias("b")).select("frame", "home_server", "b.*")
-    one = [frames.screen_matchup(drawn.where(F.col("home_server") == h).drop("home_server"), h) for h in ("1001", "1002", "1003", "1004")]
-    return one[0].unionByName(one[1]).unionByName(one[2]).unionByName(one[3])
+    drawn = rows.select(F.col("event_id").alias("frame"), F.explode(parts).alias("b")).select("frame", "b.*")
+    return frames.screen_matchup(drawn, rows.select(F.col("event_id").alias("frame"), F.col("home_server").alias("home")))
+
 
 
 QUERIES = {
