@@ -128,19 +128,20 @@ def name_overrides(players: DataFrame, overrides: DataFrame) -> DataFrame:
     return joined.withColumn("overridden", F.col("canonical").isNotNull()).withColumn("commander", F.coalesce("canonical", "commander")).drop("canonical")
 
 
-def name_candidates(players: DataFrame, known: DataFrame, known_with: DataFrame, key: Column | None = None, look: Column | None = None, limit: int = 1) -> DataFrame:
-    """``rank, server, observed, known, alliance``: known names within ``limit`` edits of an unknown one.
+def name_candidates(players: DataFrame, known: DataFrame, known_with: DataFrame, key: Column | None = None, look: Column | None = None, limit: int = 1, group: list[str] = []) -> DataFrame:
+    """``group, rank, server, observed, known, alliance``: known names within ``limit`` edits of an unknown one.
 
     Blocked by server and an alliance the known player was seen with; names
-    already on the list are no candidates.  Only reported, never applied.
+    already on the list are no candidates.  ``group`` are columns that tell
+    several lists of players apart.  Only reported, never applied.
     """
     keyed = players.where(F.col("commander").isNotNull() & (F.col("commander") != UNREADABLE)).withColumn("name_key", name_key(F.col("commander")) if key is None else key).where("name_key <> ''")
     new = keyed.join(known.select("server", "name_key"), ["server", "name_key"], "left_anti").withColumn("_look", confusable_key(F.col("commander")) if look is None else look)
-    free = known.join(keyed.select("server", "name_key").distinct(), ["server", "name_key"], "left_anti")
-    free = free.join(known_with, ["server", "name_key"]).withColumn("_known_look", confusable_key(F.col("commander")) if look is None else look)
+    free = known.join(known_with, ["server", "name_key"]).withColumn("_known_look", confusable_key(F.col("commander")) if look is None else look)
     joined = new.alias("n").join(free.alias("k"), (F.col("n.server") == F.col("k.server")) & (F.col("n.alliance") == F.col("k.alliance")))
     near = joined.where(F.levenshtein(F.col("n._look"), F.col("k._known_look"), limit).between(0, limit))
-    return near.select("n.rank", "n.server", F.col("n.commander").alias("observed"), F.col("k.commander").alias("known"), "n.alliance").distinct()
+    found = near.select(*[f"n.{c}" for c in group], "n.rank", "n.server", F.col("n.commander").alias("observed"), F.col("k.commander").alias("known"), "n.alliance", "k.name_key").distinct()
+    return found.join(keyed.select(*group, "server", "name_key").distinct(), [*group, "server", "name_key"], "left_anti").select(*group, "rank", "server", "observed", "known", "alliance").distinct()
 
 
 def changes_of(before: DataFrame, after: DataFrame, key: list[str], fields: list[str]) -> DataFrame:

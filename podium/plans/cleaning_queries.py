@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podium.functions.text import label_name, label_tag, normal_label
+from podium.functions.text import label_name, label_tag, name_key, normal_label
 from podium.operators import clean, early, publish
 from podium.plans.boards import BOARD_SQL, MANIFEST_SQL, board, manifest
 from podium.session import table
@@ -55,13 +55,11 @@ def label_repairs(s: SparkSession, d: str) -> DataFrame:
 
 
 def fuzzy_candidates(s: SparkSession, d: str) -> DataFrame:
-    """Names of each event's board one edit from a known one of the same server and alliance; ASCII names."""
-    rows = board(s, d).where("commander <> '' and commander not rlike '[^ -~]' and server is not null")
-    known = table(s, d, "known_names").where("kind = 'commander' and commander not rlike '[^ -~]'").select("server", _core("commander").alias("name_key"), "commander", "alliance", "n_seen")
-    best = known.where("name_key <> ''").groupBy("server", "name_key").agg(F.min(F.struct((-F.col("n_seen")).alias("m"), F.col("commander").alias("v"))).alias("b")).select("server", "name_key", F.col("b.v").alias("commander"))
-    best = best.join(rows.where("rank % 2 = 0").select("server", _core("commander").alias("name_key")).distinct(), ["server", "name_key"], "left_semi")
-    seen_with = known.select("server", "name_key", "alliance").where("alliance is not null and name_key <> ''").distinct()
-    return clean.name_candidates(rows.where("rank % 2 = 1"), best, seen_with, key=_core("commander"), look=_core("commander"))
+    """Names of each event's board one edit, in look-alike keys, from a known one of the same server and alliance."""
+    known = table(s, d, "known_names").where("kind = 'commander'").select("server", name_key(F.col("commander")).alias("name_key"), "commander", "alliance", "n_seen").where("name_key <> ''")
+    best = known.groupBy("server", "name_key").agg(F.min(F.struct((-F.col("n_seen")).alias("m"), F.col("commander").alias("v"))).alias("b")).select("server", "name_key", F.col("b.v").alias("commander"))
+    seen_with = known.select("server", "name_key", "alliance").where("alliance is not null").distinct()
+    return clean.name_candidates(board(s, d), best, seen_with, group=["event_id"])
 
 
 def name_candidates(s: SparkSession, d: str) -> DataFrame:

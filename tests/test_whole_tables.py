@@ -1,11 +1,16 @@
 """Queries leave out no part of their tables; what the SQL leaves out is tested here by cases."""
 
 import os
+import random
+import unicodedata
 
 import __spark_entry__ as entry_point
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from podium.functions.text import CONFUSABLE_FROM, CONFUSABLE_TO
+from podium.operators.early import within
+
 
 def write(folder, name, rows, schema):
     names = [c.split()[0] for c in schema.split(", ")]
@@ -23,3 +28,40 @@ def test_matchup_screens_of_every_home_server(spark, tmp_path):
     write(tmp_path, "war_manifest", events, "event_id string, home_server string, opponent_server string, home_role string, total_points bigint, published_at timestamp")
     got = {(r.frame, r.home_role, r.opponent, r.battle_over, r.home_result) for r in run(spark, "screen_matchup", tmp_path).collect()}
     assert got == {(e, role, other, True, "victory") for e, _, other, role, _, _ in events}
+
+
+BOARD = "row_id bigint, event_id string, scan_id string, scan_kind string, rank int, commander string, alliance string, alliance_tag string, alliance_name string, server string, points bigint"
+
+
+def boards(folder, rows):
+    """Final lists of (event, rank, commander, alliance, server)."""
+    write(folder, "rankings", [(n, e, f"{e}f", "final", rank, name, label, None, None, server, 1000 - rank) for n, (e, rank, name, label, server) in enumerate(rows)], BOARD)
+
+
+def core(name):
+    return "".join(c for c in unicodedata.normalize("NFKC", name) if c.isalnum()).casefold()
+
+
+def near(a, b):
+    """Within one edit in look-alike keys."""
+    a, b = ("".join(c for c in unicodedata.normalize("NFKC", x).casefold().translate(str.maketrans(CONFUSABLE_FROM, CONFUSABLE_TO)) if c.isalnum()) for x in (a, b))
+    return within(a, b, 1)
+
+
+NAMES = ["Wulfgar", "Wulfgat", "Wulfgarr", "Ørvald", "Ørvald!", "Ørvalt", "Дракон", "Дракн", "Дракoн", "Zoë Quinn", "Zoe Quinn", "Mirabeth", "M1rabeth", "Other"]
+
+
+def test_fuzzy_candidates_are_those_of_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(e, rank, rng.choice(NAMES), rng.choice(["A", "B"]), "1") for e in "abcdefgh" for rank in range(1, 8)]
+    known = [(n, "commander", "1", name, label, n) for n, (name, label) in enumerate([(x, y) for x in NAMES[::2] for y in ("A", "B") if rng.random() < 0.8])]
+    boards(tmp_path, rows)
+    write(tmp_path, "known_names", known, "name_id bigint, kind string, server string, commander string, alliance string, n_seen bigint")
+    keys = {core(k[3]) for k in known}
+    best = {x: min((-k[5], k[3]) for k in known if core(k[3]) == x)[1] for x in keys}
+    want = set()
+    for e, rank, name, label, server in rows:
+        listed = {core(r[2]) for r in rows if r[0] == e}
+        want |= {(e, rank, server, name, best[core(k[3])], label) for k in known if core(name) not in keys and k[4] == label and core(k[3]) not in listed and near(name, best[core(k[3])])}
+    got = [tuple(r) for r in run(spark, "fuzzy_candidates", tmp_path).select("event_id", "rank", "server", "observed", "known", "alliance").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and any(not x[3].isascii() for x in want) and len({x[1] % 2 for x in want}) == 2
