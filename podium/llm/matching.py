@@ -17,8 +17,8 @@ records (WALK_RECORDS), the calibration on a bounded number of rows
 (CALIBRATE_ROWS of each table); every row of both tables is indexed and searched.  They
 live in a hashed table of fixed size, the only thing sent to the workers.
 Contexts are groups of one shuffle; a context with more than HOT_ROWS records
-is spread over the buckets of its hash tables, with more bits the larger it is,
-and its candidates are brought together again by record.
+is spread over the buckets of its hash tables, with more bits the larger it is
+and as many more tables as keep the chance to meet the same, and its candidates are brought together again by record.
 """
 
 from __future__ import annotations
@@ -44,8 +44,10 @@ BUCKETS, WIDTH = 1 << 15, 48
 WALK_RECORDS, WALKS, STEPS, REACH, NEGATIVE = 6_000, 3, 6, 2, 4
 #: Contexts, and rows of each table in them, on which cosines are calibrated.
 CALIBRATE_CONTEXTS, CALIBRATE_ROWS = 3, 4_000
-#: Hash tables of each view.
-TABLES = 8
+#: Least number of hash tables of each view, and the bits up to which it is enough; see ``tables_for``.
+TABLES, TABLES_BITS = 8, 6
+#: Most bits of a table, and the cosine whose chance to share a bucket does not fall with the bits.
+MOST_BITS, NEAR_COSINE = 16, 0.8
 #: Records of a context from which it is spread over its hash buckets.
 HOT_ROWS = 100_000
 #: Least posterior of a match, and how far below the best a candidate is still weighed.
@@ -206,10 +208,9 @@ class Index:
 
     def codes(self, views: list[np.ndarray], bits: int) -> np.ndarray:
         """Bucket of each record in each table; -1 where the view is empty."""
-        out = []
+        out, weight = [], 1 << np.arange(bits)
         for n, view in enumerate(views):
-            signs = (view @ self.planes[n, :, :, :bits].reshape(TABLES, WIDTH, bits).transpose(1, 0, 2).reshape(WIDTH, -1) > 0).reshape(len(view), TABLES, bits)
-            code = (signs * (1 << np.arange(bits))).sum(axis=2)
+            code = np.stack([(view @ planes[:, :bits] > 0) @ weight for planes in self.planes[n, : tables_for(bits)]], axis=1)
             code[~view.any(axis=1)] = -1
             out.append(code.astype(np.int32))
         return np.concatenate(out, axis=1)
@@ -224,7 +225,19 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 def bits_for(rows: int) -> int:
     """Bits of a table: buckets of about 16 records."""
-    return max(3, min(16, int(math.log2(rows / 16)))) if rows > 128 else 3
+    return max(3, min(MOST_BITS, int(math.log2(rows / 16)))) if rows > 128 else 3
+
+
+def tables_for(bits: int) -> int:
+    """Tables of a view with which a pair of NEAR_COSINE shares a bucket as likely as with TABLES of TABLES_BITS bits."""
+    same = 1 - math.acos(NEAR_COSINE) / math.pi
+    return max(TABLES, math.ceil(TABLES * math.log1p(-(same**TABLES_BITS)) / math.log1p(-(same**bits))))
+
+
+def planes_for(rng: np.random.Generator) -> np.ndarray:
+    """Hyperplanes of all tables of the three views; the first TABLES are drawn first."""
+    some = [rng.standard_normal((3, n, WIDTH, MOST_BITS)).astype(np.float32) for n in (TABLES, tables_for(MOST_BITS) - TABLES)]
+    return np.concatenate(some, axis=1)
 
 
 def name_weight(a: str | None, b: str | None, loose: bool = True) -> float:
@@ -369,7 +382,7 @@ def fit_index(board: DataFrame, posted: DataFrame, counts: DataFrame, seed: int
         found = _share(df, rows, WALK_RECORDS * share // 3).select(*columns, "id").collect()
         picked += [(name_ids(r.commander), group_ids(r.alliance), place_ids(place_of(r.server)), amount_ids(r.points)) for r in sorted(found, key=lambda r: r.id)]
     rng = np.random.default_rng(seed + 1)
-    index = Index(train(picked, seed), rng.standard_normal((3, TABLES, WIDTH, 16)).astype(np.float32))
+    index = Index(train(picked, seed), planes_for(rng))
     some = counts.where("n_board > 0 and n_posted > 0").orderBy(F.xxhash64("context"), "context").limit(CALIBRATE_CONTEXTS).collect()
     if not some:
         return index
