@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,8 +74,8 @@ def known_name_labels(earlier: DataFrame, key: Column | None = None) -> DataFram
     return keyed.where("name_key <> '' and alliance is not null").distinct()
 
 
-def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, str] | None = None, most: int = 2) -> DataFrame:
-    """What to do with each label of one event: ``alliance, after, reason, reviews``.
+def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, str] | None = None, most: int = 2, group: list[str] = []) -> DataFrame:
+    """What to do with each label of an event: ``group, alliance, after, reason, reviews``.
 
     A correction wins.  A label without a tag that ends in a known name behind
     what may be a misread bracket is repaired if one known label fits.  A label
@@ -81,35 +83,42 @@ def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, s
     repaired if it stands at most ``most`` times; else the known labels are
     listed for review.  Candidates are joined on the case-folded name, and for
     broken brackets on the last words of the label, never label by label.
+    ``group`` are columns that tell events apart; ``known`` holds for all.
     """
     fixes = corrections or {}
-    counted = players.groupBy("alliance").agg(F.count("*").alias("n_rows"))
-    seen = counted.select("alliance", "n_rows", F.coalesce(corrected(F.col("alliance"), fixes), normal_label(F.col("alliance"))).alias("label"), corrected(F.col("alliance"), fixes).isNotNull().alias("manual"))
-    now = seen.groupBy("label").agg(F.sum("n_rows").alias("count_now"))
-    every = now.join(known.select("label").distinct().withColumn("prior", F.lit(True)), "label", "full").select("label", F.coalesce("count_now", F.lit(0)).alias("count_now"), F.coalesce("prior", F.lit(False)).alias("prior"))
-    parts = every.withColumn("tag", label_tag(F.col("label"))).withColumn("name", label_name(F.col("label")))
-    parts = parts.withColumn("fold", casefold("name")).withColumn("key", confusable_key(F.col("tag"))).withColumn("fused", fused_forms(F.col("tag")))
-    mine = parts.where("count_now > 0")
-    pick = lambda s: [F.col(c).alias(f"{c}_{s}") for c in parts.columns]
-    a, b = mine.where("tag <> ''").select(*pick("a")), parts.where("tag <> ''").select(*pick("b"))
+    counted = players.groupBy(*group, "alliance").agg(F.count("*").alias("n_rows"))
+    seen = counted.select(*group, "alliance", "n_rows", F.coalesce(corrected(F.col("alliance"), fixes), normal_label(F.col("alliance"))).alias("label"), corrected(F.col("alliance"), fixes).isNotNull().alias("manual"))
+
+    def parted(labels: DataFrame) -> DataFrame:
+        parts = labels.withColumn("tag", label_tag(F.col("label"))).withColumn("name", label_name(F.col("label")))
+        return parts.withColumn("fold", casefold("name")).withColumn("key", confusable_key(F.col("tag"))).withColumn("fused", fused_forms(F.col("tag")))
+
+    mine = parted(seen.groupBy(*group, "label").agg(F.sum("n_rows").alias("count_now")))
+    pick = lambda df, s: df.where("tag <> ''").select(*[F.col(c).alias(f"{c}_{s}") for c in df.columns])
+    a, b, prior = pick(mine, "a"), pick(mine, "b"), pick(parted(known.select("label").distinct()), "b")
     alike = tag_confusable(F.col("tag_a"), F.col("tag_b"), F.col("key_a"), F.col("key_b"), F.col("fused_a"), F.col("fused_b"))
-    tagged = a.join(b, a.fold_a == b.fold_b).where((F.col("label_a") != F.col("label_b")) & (F.col("prior_b") | (F.col("count_now_b") > F.col("count_now_a"))) & alike)
+    one_event = [F.col(f"{g}_a") == F.col(f"{g}_b") for g in group]
+    fit = [*[F.col(f"{g}_a").alias(g) for g in group], "label_a", "label_b"]
+    tagged = [
+        a.join(prior, F.col("fold_a") == F.col("fold_b")).where((F.col("label_a") != F.col("label_b")) & alike),
+        a.join(b, [F.col("fold_a") == F.col("fold_b"), *one_event]).where((F.col("label_a") != F.col("label_b")) & (F.col("count_now_b") > F.col("count_now_a")) & alike),
+    ]
     # Labels without a tag: every ending that begins a word is looked up as a known name.
     words = F.split(F.col("label"), " ")
-    ends = mine.where("tag = ''").select("label", "count_now", F.posexplode(F.transform(F.sequence(F.lit(2), F.greatest(F.size(words), F.lit(2))), lambda i: F.array_join(F.slice(words, i, F.size(words)), " "))).alias("i", "ending")).where("ending <> ''")
+    ends = mine.where("tag = ''").select(*group, "label", F.posexplode(F.transform(F.sequence(F.lit(2), F.greatest(F.size(words), F.lit(2))), lambda i: F.array_join(F.slice(words, i, F.size(words)), " "))).alias("i", "ending")).where("ending <> ''")
     ends = ends.withColumn("prefix", stripped(F.expr("substring(label, 1, length(label) - length(ending))"))).withColumn("ending_fold", casefold("ending"))
     ends = ends.where((F.length("prefix") >= 2) & F.substring("prefix", 1, 1).isin(*"[UIJ1") & F.expr("right(prefix, 1)").isin(*"]UIJ1"))
-    ends = ends.withColumn("tag_a", F.expr("substring(prefix, 2, length(prefix) - 2)"))
+    ends = ends.withColumn("tag_a", F.expr("substring(prefix, 2, length(prefix) - 2)")).select(*[F.col(g).alias(f"{g}_a") for g in group], F.col("label").alias("label_a"), "tag_a", F.col("ending_fold").alias("fold_a"))
     ends = ends.withColumn("key_a", confusable_key(F.col("tag_a"))).withColumn("fused_a", fused_forms(F.col("tag_a")))
-    broken = ends.join(b, ends.ending_fold == b.fold_b).where(tag_confusable(F.col("tag_a"), F.col("tag_b"), F.col("key_a"), F.col("key_b"), F.col("fused_a"), F.col("fused_b"))).select(F.col("label").alias("label_a"), "label_b")
-    offers = tagged.select("label_a", "label_b", (F.col("count_now_a") <= most).alias("may"), F.lit("known alliance").alias("reason")).union(broken.select("label_a", "label_b", F.lit(True), F.lit("bracket repair")))
-    decided = offers.groupBy(F.col("label_a").alias("label")).agg(F.sort_array(F.collect_set("label_b")).alias("c"), F.max("may").alias("may"), F.max("reason").alias("why"))
-    joined = seen.join(decided, "label", "left")
+    broken = [ends.join(prior, F.col("fold_a") == F.col("fold_b")).where(alike), ends.join(b, [F.col("fold_a") == F.col("fold_b"), *one_event]).where(alike)]
+    offers = [df.select(*fit, (F.col("count_now_a") <= most).alias("may"), F.lit("known alliance").alias("reason")) for df in tagged] + [df.select(*fit, F.lit(True).alias("may"), F.lit("bracket repair").alias("reason")) for df in broken]
+    decided = reduce(DataFrame.unionByName, offers).groupBy(*group, F.col("label_a").alias("label")).agg(F.sort_array(F.collect_set("label_b")).alias("c"), F.max("may").alias("may"), F.max("reason").alias("why"))
+    joined = seen.join(decided, [*group, "label"], "left")
     repair = ~F.col("manual") & F.coalesce((F.size("c") == 1) & F.col("may"), F.lit(False))
     after = F.when(repair, F.col("c")[0]).otherwise(F.col("label"))
     reason = F.when(F.col("manual"), "manual override").when(repair, F.col("why")).otherwise("known alliance")
     reviews = F.when(~F.col("manual") & ~repair & F.col("c").isNotNull(), F.col("c")).otherwise(F.array().cast("array<string>"))
-    return joined.select("alliance", after.alias("after"), reason.alias("reason"), reviews.alias("reviews"))
+    return joined.select(*group, "alliance", after.alias("after"), reason.alias("reason"), reviews.alias("reviews"))
 
 
 def apply_repairs(players: DataFrame, repairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -144,6 +153,32 @@ def name_candidates(players: DataFrame, known: DataFrame, known_with: DataFrame,
     return found.join(keyed.select(*group, "server", "name_key").distinct(), [*group, "server", "name_key"], "left_anti").select(*group, "rank", "server", "observed", "known", "alliance").distinct()
 
 
+def running_candidates(players: DataFrame, event: str = "event_id", limit: int = 1) -> DataFrame:
+    """``event, rank, server, observed, known, alliance``: what ``name_candidates`` gives for each event against all
+    earlier ones, by the order of ``event``.  ``players`` have ``pos``, by which ties of spellings go to the first.
+
+    A name is new in the first event of its key.  The most frequent spelling
+    of a known player holds from one change to the next, counted by running
+    sums, so no event is compared with each earlier one.
+    """
+    keyed = players.where(F.col("commander").isNotNull() & (F.col("commander") != UNREADABLE) & F.col(event).isNotNull()).withColumn("name_key", name_key(F.col("commander"))).where("name_key <> ''")
+    player = ["server", "name_key"]
+    new = keyed.withColumn("_first", F.min(event).over(Window.partitionBy(*player))).where(F.col(event) == F.col("_first")).withColumn("_look", confusable_key(F.col("commander")))
+    forms = keyed.groupBy(*player, "commander", event).agg(F.count("*").alias("n"), F.min("pos").alias("p"))
+    of_form, of_player = Window.partitionBy(*player, "commander").orderBy(event), Window.partitionBy(*player).orderBy(event)
+    counted = forms.select(*player, event, F.struct((-F.sum("n").over(of_form)).alias("m"), F.min("p").over(of_form).alias("p"), F.col("commander").alias("v")).alias("b"))
+    best = counted.groupBy(*player, event).agg(F.min("b").alias("b")).withColumn("v", F.min("b").over(of_player)["v"])
+    changed = best.withColumn("_before", F.lag("v").over(of_player)).where("_before is null or v <> _before")
+    held = changed.select(*player, F.col(event).alias("since"), F.lead(event).over(of_player).alias("until"), F.col("v").alias("known")).withColumn("_known_look", confusable_key(F.col("known")))
+    seen_with = keyed.where("alliance is not null").groupBy(*player, "alliance").agg(F.min(event).alias("with_since"))
+    free = held.join(seen_with, player).withColumn("since", F.greatest("since", "with_since"))
+    now = F.col(f"n.{event}")
+    meet = (F.col("n.server") == F.col("k.server")) & (F.col("n.alliance") == F.col("k.alliance")) & (now > F.col("k.since")) & (F.col("k.until").isNull() | (now <= F.col("k.until")))
+    near = new.alias("n").join(free.alias("k"), meet).where(F.levenshtein(F.col("n._look"), F.col("k._known_look"), limit).between(0, limit))
+    found = near.select(f"n.{event}", "n.rank", "n.server", F.col("n.commander").alias("observed"), "k.known", "n.alliance", "k.name_key").distinct()
+    return found.join(keyed.select(event, *player).distinct(), [event, *player], "left_anti").select(event, "rank", "server", "observed", "known", "alliance").distinct()
+
+
 def changes_of(before: DataFrame, after: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
     """``key, field, before, after`` of every field that differs between two tables of the same keys."""
     pairs = before.alias("b").join(after.alias("a"), key)

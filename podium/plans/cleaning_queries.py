@@ -46,12 +46,9 @@ def known_labels(s: SparkSession, d: str) -> DataFrame:
 
 
 def label_repairs(s: SparkSession, d: str) -> DataFrame:
-    """Repairs of the labels of the last event by those of the registry."""
-    players = board(s, d)
-    last = players.agg(F.max("event_id").alias("event_id"))
-    now = players.join(F.broadcast(last), "event_id", "left_semi")
+    """Repairs of the labels of every event by those of the registry."""
     known = table(s, d, "alliance_registry").select(normal_label(F.col("alliance")).alias("label"))
-    return clean.label_repairs(now, known)
+    return clean.label_repairs(board(s, d), known, group=["event_id"])
 
 
 def fuzzy_candidates(s: SparkSession, d: str) -> DataFrame:
@@ -63,11 +60,8 @@ def fuzzy_candidates(s: SparkSession, d: str) -> DataFrame:
 
 
 def name_candidates(s: SparkSession, d: str) -> DataFrame:
-    """The same on look-alike keys of all names: the last event against all earlier ones."""
-    players = board(s, d)
-    last = F.broadcast(players.agg(F.max("event_id").alias("event_id")))
-    now, before = players.join(last, "event_id", "left_semi"), players.join(last, "event_id", "left_anti").withColumn("pos", F.col("row_id"))
-    return clean.name_candidates(now, clean.known_names(before), clean.known_name_labels(before))
+    """The same for names of every event against all earlier events."""
+    return clean.running_candidates(board(s, d).withColumn("pos", F.col("row_id")))
 
 
 def override_join(s: SparkSession, d: str) -> DataFrame:

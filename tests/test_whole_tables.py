@@ -7,9 +7,12 @@ import unicodedata
 import __spark_entry__ as entry_point
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
-from podium.functions.text import CONFUSABLE_FROM, CONFUSABLE_TO
+from podium.functions.text import CONFUSABLE_FROM, CONFUSABLE_TO, normal_label
+from podium.operators import clean
 from podium.operators.early import within
+from podium.plans.boards import board
 
 
 def write(folder, name, rows, schema):
@@ -65,3 +68,23 @@ def test_fuzzy_candidates_are_those_of_brute_force(spark, tmp_path):
         want |= {(e, rank, server, name, best[core(k[3])], label) for k in known if core(name) not in keys and k[4] == label and core(k[3]) not in listed and near(name, best[core(k[3])])}
     got = [tuple(r) for r in run(spark, "fuzzy_candidates", tmp_path).select("event_id", "rank", "server", "observed", "known", "alliance").collect()]
     assert len(got) == len(set(got)) and set(got) == want and any(not x[3].isascii() for x in want) and len({x[1] % 2 for x in want}) == 2
+
+
+def test_every_event_gets_what_it_would_get_alone(spark, tmp_path):
+    rng = random.Random(5)
+    labels = ["A", "B", "[UIJ] Ünder Team", "[U1J] Ünder Team", "[ABC] Team", "[A8C] Team", "IABCI Team"]
+    rows = [(e, rank, rng.choice(NAMES), rng.choice(labels), rng.choice("12")) for e in "abcd" for rank in range(1, 13)]
+    rows += [(e, 20, "Wulfgar", "A", "1") for e in "ac"] + [("d", 21, "Wu1fgarx", "A", "1")]
+    boards(tmp_path, rows)
+    write(tmp_path, "alliance_registry", [("[ABC] Team",), ("[UIJ] Ünder Team",)], "alliance string")
+    players = board(spark, str(tmp_path)).withColumn("pos", F.col("row_id"))
+    known = spark.read.parquet(f"{tmp_path}/alliance_registry.parquet").select(normal_label(F.col("alliance")).alias("label"))
+    repairs, found = set(), set()
+    for e in "abcd":
+        now, before = players.where(F.col("event_id") == e), players.where(F.col("event_id") < e)
+        repairs |= {(e, r.alliance, r.after, r.reason, tuple(r.reviews)) for r in clean.label_repairs(now, known).collect()}
+        found |= {(e, *r) for r in clean.name_candidates(now, clean.known_names(before), clean.known_name_labels(before)).collect()}
+    assert {(r.event_id, r.alliance, r.after, r.reason, tuple(r.reviews)) for r in run(spark, "label_repairs", tmp_path).collect()} == repairs
+    got = [tuple(r) for r in run(spark, "name_candidates", tmp_path).collect()]
+    assert len(got) == len(set(got)) and set(got) == found and len({x[0] for x in found}) > 1
+    assert len({r[0] for r in repairs if r[1] != r[2]}) > 1
