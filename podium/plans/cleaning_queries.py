@@ -102,13 +102,13 @@ def clean_prefix(s: SparkSession, d: str) -> DataFrame:
 
 
 def prefix_merge_renumber(s: SparkSession, d: str) -> DataFrame:
-    """Early lists merged up to the rank before the first without a partner, at most 25."""
+    """Early lists merged up to the rank before the first without a partner."""
     a, b = _snapshots(s, d)
     pairs = _exact(a, b)
     per = Window.partitionBy("event_id").orderBy("rank")
     lined = a.join(pairs.withColumnRenamed("early_rank", "rank"), ["event_id", "rank"], "left").withColumn("n", F.row_number().over(per))
     broken = F.min(F.when((F.col("rank") != F.col("n")) | F.col("later_pos").isNull() | F.col("points").isNull(), F.col("n") - 1))
-    cut = lined.groupBy("event_id").agg(F.least(F.coalesce(broken, F.max("n")), F.lit(25)).alias("cutoff"))
+    cut = lined.groupBy("event_id").agg(F.coalesce(broken, F.max("n")).alias("cutoff"))
     return early.merge_early(a, b, pairs, cut)
 
 

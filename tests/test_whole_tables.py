@@ -88,3 +88,12 @@ def test_every_event_gets_what_it_would_get_alone(spark, tmp_path):
     got = [tuple(r) for r in run(spark, "name_candidates", tmp_path).collect()]
     assert len(got) == len(set(got)) and set(got) == found and len({x[0] for x in found}) > 1
     assert len({r[0] for r in repairs if r[1] != r[2]}) > 1
+
+
+def test_merged_prefix_may_be_longer_than_25(spark, tmp_path):
+    final = [(n, "e", "f", "final", n, f"n{n}", "A", None, None, "1", 1000 - n) for n in range(1, 41)]
+    early = [(100 + n, "e", "a", "incremental", n, f"n{41 - n if n <= 30 else 100 + n}", "A", None, None, "1", 5000 - n) for n in range(1, 35)]
+    write(tmp_path, "rankings", final + early, BOARD)
+    got = [(r.rank, r.commander, r.points, r.later_rank) for r in run(spark, "prefix_merge_renumber", tmp_path).orderBy("rank").collect()]
+    want = [(f"n{41 - n}", 5000 - n, 41 - n) for n in range(1, 31)] + [(f"n{n}", 1000 - n, n) for n in range(1, 11)]
+    assert got == [(rank, *x) for rank, x in enumerate(want, 1)]
