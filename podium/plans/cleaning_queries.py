@@ -19,7 +19,7 @@ _CORE = r"lower(regexp_replace({}, '[^\p{L}\p{N}]', '', 'g'))"
 
 
 def parse_labels(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "rankings").where("alliance is not null and alliance not rlike '[^ -~]'")
+    rows = table(s, d, "rankings").where("alliance is not null")
     return rows.select("row_id", label_tag(F.col("alliance")).alias("tag"), label_name(F.col("alliance")).alias("name"))
 
 
@@ -29,12 +29,12 @@ def clean_players(s: SparkSession, d: str) -> DataFrame:
 
 
 def lookalike_consolidation(s: SparkSession, d: str) -> DataFrame:
-    return clean.consolidate_labels(board(s, d).where("alliance not rlike '[^ -~]'"), ["event_id"])
+    return clean.consolidate_labels(board(s, d), ["event_id"])
 
 
 def known_index(s: SparkSession, d: str) -> DataFrame:
-    """Known players with SQL's core of small letters and digits."""
-    return clean.known_names(board(s, d).where("commander not rlike '[^ -~]'").withColumn("pos", F.col("row_id")), key=_core("commander"))
+    """Known players by SQL's core of small letters and digits, of any script."""
+    return clean.known_names(board(s, d).withColumn("pos", F.col("row_id")), key=_core("commander"))
 
 
 def known_names(s: SparkSession, d: str) -> DataFrame:
@@ -42,7 +42,7 @@ def known_names(s: SparkSession, d: str) -> DataFrame:
 
 
 def known_labels(s: SparkSession, d: str) -> DataFrame:
-    return clean.known_labels(board(s, d).where("alliance not rlike '[^ -~]'"))
+    return clean.known_labels(board(s, d))
 
 
 def label_repairs(s: SparkSession, d: str) -> DataFrame:
@@ -72,7 +72,7 @@ def override_join(s: SparkSession, d: str) -> DataFrame:
 
 def change_log(s: SparkSession, d: str) -> DataFrame:
     """Fields that a normal form of the label changes."""
-    rows = board(s, d).where("alliance not rlike '[^ -~]'").select("row_id", "alliance", "alliance_name")
+    rows = board(s, d).select("row_id", "alliance", "alliance_name")
     return clean.changes_of(rows, rows.withColumn("alliance", normal_label(F.col("alliance"))).withColumn("alliance_name", label_name(F.col("alliance"))), ["row_id"], ["alliance", "alliance_name"])
 
 
@@ -144,12 +144,12 @@ def _tagged(s: SparkSession, d: str) -> DataFrame:
 
 
 def threshold_allowlist(s: SparkSession, d: str) -> DataFrame:
-    return publish.allow_list(_tagged(s, d).where("alliance not rlike '[^ -~]'"), "1001", 1_000_000)
+    return publish.allow_list(_tagged(s, d), "1001", 1_000_000)
 
 
 def allowlist_diff(s: SparkSession, d: str) -> DataFrame:
     """From the tags of weaker alliances to those of strong ones."""
-    standings = _tagged(s, d).where("alliance not rlike '[^ -~]'")
+    standings = _tagged(s, d)
     return publish.list_difference(publish.allow_list(standings, "1001", 1_000_000), publish.allow_list(standings.where("rank % 3 <> 0"), "1001", 200_000))
 
 

@@ -97,3 +97,19 @@ def test_merged_prefix_may_be_longer_than_25(spark, tmp_path):
     got = [(r.rank, r.commander, r.points, r.later_rank) for r in run(spark, "prefix_merge_renumber", tmp_path).orderBy("rank").collect()]
     want = [(f"n{41 - n}", 5000 - n, 41 - n) for n in range(1, 31)] + [(f"n{n}", 1000 - n, n) for n in range(1, 11)]
     assert got == [(rank, *x) for rank, x in enumerate(want, 1)]
+
+
+def test_rows_beyond_ascii_are_kept(spark, tmp_path):
+    rows = [("e", 1, "Ørvald", "［ÜB］ Ünder  ", "1001"), ("e", 2, "ØRVALD!", "[ÖR] TeIIer É", "1001"), ("e", 3, "Ann", "[ÖR] Teller É", "1001"), ("e", 4, "Bea", "[ÖR] Teller É", "1001"), ("e", 5, "Cem", "[ŸZ] Low", "1001")]
+    boards(tmp_path, [(e, r, c, a, s) for e, r, c, a, s in rows])
+    table = pq.read_table(f"{tmp_path}/rankings.parquet")
+    at = table.schema.get_field_index("points")
+    pq.write_table(table.set_column(at, "points", pa.array([3_000_000, 300_000, 2_000_000, 2_000_000, 250_000])), f"{tmp_path}/rankings.parquet")
+    rows_of = lambda name: sorted(tuple(r) for r in run(spark, name, tmp_path).collect())
+    assert [r[0] for r in rows_of("parse_labels")] == [0, 1, 2, 3, 4] and rows_of("parse_labels")[2][1:] == ("ÖR", "Teller É")
+    assert rows_of("lookalike_consolidation") == [("e", "[ÖR] TeIIer É", "[ÖR] Teller É", 1)]
+    assert [r[:2] + r[3:] for r in rows_of("known_index")] == [("1001", "ann", 1), ("1001", "bea", 1), ("1001", "cem", 1), ("1001", "ørvald", 2)]
+    assert rows_of("known_labels") == [("[ÖR] TeIIer É",), ("[ÖR] Teller É",), ("[ÜB] Ünder",), ("[ŸZ] Low",)]
+    assert (0, "alliance", "［ÜB］ Ünder  ", "[ÜB] Ünder") in rows_of("change_log")
+    assert rows_of("threshold_allowlist") == [("e", "ÖR", 4_000_000)]
+    assert rows_of("allowlist_diff") == [("e", "ŸZ", "remove")]
