@@ -27,6 +27,40 @@ LABEL_FROM, LABEL_TO = "0O1Ii|!", "oolllll"
 FUSED = "UIJ1ulij|"
 
 
+# Labels known to be misread, and what they stand for.
+LABEL_FIXES = {
+    "[P1MP] JU1CER": "[P1MP] JU1CE",
+    "[P1MP]JU1CER": "[P1MP] JU1CE",
+    "[P1MP]JU1CE": "[P1MP] JU1CE",
+    "[7DS] Se7enDeàdlySinsR": "[7DS] Se7enDeàdlySins",
+    "[cHIL] ChillEmpire": "[CHIL] ChillEmpire",
+    "[CLAVI ВОЙНЫ": "[CLAV] ВОЙНЫ",
+    "[CLAV] ВОЙНЫ-": "[CLAV] ВОЙНЫ",
+    "[FBLL] DVDVDVD": "[FBL3] DVDVDVDC",
+    "[HElI] DarkAl": "[HEII] DarkAl",
+    "[Hhhh] Xpovoç": "[Hhhh] Xpovos",
+    "[QCKJ QUICKREACTIONFORCE": "[QCK] QUICKREACTIONFORCE",
+    "[RTRJ RETRO": "[RTR] RETRO",
+    "TSKG] Horizon": "[SKG] Horizon",
+    "UJQK] JQKKK": "[JQK] JQKKK",
+    "UQK]JOKKK": "[JQK] JQKKK",
+    "[19o] CandyClub": "[190] CandyClub",
+    "[1BİR] XOXOX": "[1BiR] XOXOX",
+    "[TІOX] ПоХуисты": "[TIOX] ПоХуисты",
+    "Df] 아무이름이나붙이기": "[Df] 아무이름이나붙이기",
+    "[OBS] ZeroBullsht": "[0BS] ZeroBullsht",
+    "[Geujl hehrb": "[Geuj] hehrb",
+    "[|HA] USAL]": "[IHA] USALJ",
+    "[|HA] USALJ": "[IHA] USALJ",
+    "[IHA] USAL)": "[IHA] USALJ",
+    "Usib] aksjf": "[Jsib] aksjf",
+    "[sib] aksjf": "[Jsib] aksjf",
+    "ICCCC] CCCCCCCCCCCCCCCCCCCC": "[CCCC] CCCCCCCCCCCCCCCCCCCC",
+    "USMF] forte": "[USMF] forte",
+    "[zZZ] Zombiz": "[zZZ] ZombiZ",
+}
+
+
 def _each(values: pd.Series, function) -> pd.Series:
     made = {v: function(v) for v in values.dropna().unique()}
     return pd.Series([made.get(v) if isinstance(v, str) else None for v in values], index=values.index, dtype=object)

@@ -16,31 +16,58 @@ from podium.functions.text import (
 MAX_CORRECTIONS = 100_000
 
 
-def corrections_map(corrections: DataFrame, key: str = "before", value: str = "after") -> dict[str, str]:
-    """A table of manual corrections on the driver; raises beyond MAX_CORRECTIONS rows.  Null keys are left out, later rows win."""
-    rows = corrections.select(key, value).where(F.col(key).isNotNull()).limit(MAX_CORRECTIONS + 1).collect()
-    if len(rows) > MAX_CORRECTIONS:
+def corrections_table(spark, corrections: DataFrame | dict[str, str] | None) -> DataFrame:
+    """``before, after`` of manual corrections, each ``before`` once; raises beyond MAX_CORRECTIONS rows.
+
+    Rows with a null on either side are left out; of two corrections of one
+    value the greater counts.  Its size is proven, so it may be broadcast.
+    """
+    if not isinstance(corrections, DataFrame):
+        corrections = spark.createDataFrame(sorted((corrections or {}).items()), "before string, after string")
+    once = corrections.where("before is not null and after is not null").groupBy("before").agg(F.max("after").alias("after"))
+    if once.limit(MAX_CORRECTIONS + 1).count() > MAX_CORRECTIONS:
         raise ValueError(f"more than {MAX_CORRECTIONS} corrections")
-    return {r[0]: r[1] for r in rows}
+    return once
+
 
+def corrected(rows: DataFrame, column: str, corrections: DataFrame, into: str) -> DataFrame:
+    """``rows`` with ``into``: what ``corrections`` (before, after) make of ``column``, null where they know nothing of it."""
+    fixes = F.broadcast(corrections.select(F.col("before").alias("_before"), F.col("after").alias(into)))
+    return rows.join(fixes, F.col(column) == F.col("_before"), "left").drop("_before")
 
-def corrected(column: Column, corrections: dict[str, str]) -> Column:
-    """``column`` with exact values replaced; null where nothing is known of them."""
-    if not corrections:
-        return F.lit(None).cast("string")
-    return F.create_map(*[F.lit(x) for pair in corrections.items() for x in pair])[column]
 
+def same_name_tag_variant(a: Column, b: Column) -> Column:
+    """Whether two labels have the same name, without regard to case, and tags that may be readings of one."""
+    tag_a, tag_b = label_tag(a), label_tag(b)
+    alike = tag_confusable(tag_a, tag_b, confusable_key(tag_a), confusable_key(tag_b), fused_forms(tag_a), fused_forms(tag_b))
+    return (tag_a != "") & (tag_b != "") & (casefold(label_name(a)) == casefold(label_name(b))) & alike
 
-def clean_players(players: DataFrame, home: str, corrections: dict[str, str] | None = None) -> DataFrame:
+
+def safe_corrections(corrections: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The corrections that need no evidence of the event at hand.
+
+    Left out are those that change only a tag into a look-alike one, and those
+    of a label without a whole tag whose result is not among the ``known``
+    labels.
+    """
+    bare = ~F.col("before").rlike(r"^\[[^]]+\]")
+    listed = known.select(F.col("label").alias("after")).distinct().withColumn("_known", F.lit(True)) if known is not None else None
+    rows = corrections.join(listed, "after", "left") if listed is not None else corrections.withColumn("_known", F.lit(None).cast("boolean"))
+    return rows.where(~same_name_tag_variant(F.col("before"), F.col("after")) & (~bare | F.coalesce("_known", F.lit(False)))).select("before", "after")
+
+
+def clean_players(players: DataFrame, home: str, corrections: DataFrame | dict[str, str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """Rows with ``alliance, alliance_tag, alliance_name, server`` in clean form; other columns stay.
 
     The server is the given one, else that at the end of the label, else
     ``home``; server marks are taken off the label; ``corrections`` apply to
-    whole labels.
+    whole labels as far as they are safe (see ``safe_corrections``; ``known``
+    are the labels of earlier events).
     """
     label = brackets(stripped(F.coalesce("alliance", F.lit(""))))
     rows = players.withColumn("server", server_code(F.col("server"), label, home)).withColumn("_l", without_server(label))
-    rows = rows.withColumn("_l", F.coalesce(corrected(F.col("_l"), corrections or {}), "_l"))
+    fixes = safe_corrections(corrections_table(players.sparkSession, corrections), known)
+    rows = corrected(rows, "_l", fixes, "_fix").withColumn("_l", F.coalesce("_fix", "_l")).drop("_fix")
     rows = rows.withColumn("alliance_tag", label_tag(F.col("_l"))).withColumn("alliance_name", label_name(F.col("_l")))
     return rows.withColumn("alliance", display(F.col("alliance_tag"), F.col("alliance_name"))).drop("_l")
 
@@ -74,7 +101,7 @@ def known_name_labels(earlier: DataFrame, key: Column | None = None) -> DataFram
     return keyed.where("name_key <> '' and alliance is not null").distinct()
 
 
-def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, str] | None = None, most: int = 2, group: list[str] = []) -> DataFrame:
+def label_repairs(players: DataFrame, known: DataFrame, corrections: DataFrame | dict[str, str] | None = None, most: int = 2, group: list[str] = []) -> DataFrame:
     """What to do with each label of an event: ``group, alliance, after, reason, reviews``.
 
     A correction wins.  A label without a tag that ends in a known name behind
@@ -85,9 +112,9 @@ def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, s
     broken brackets on the last words of the label, never label by label.
     ``group`` are columns that tell events apart; ``known`` holds for all.
     """
-    fixes = corrections or {}
     counted = players.groupBy(*group, "alliance").agg(F.count("*").alias("n_rows"))
-    seen = counted.select(*group, "alliance", "n_rows", F.coalesce(corrected(F.col("alliance"), fixes), normal_label(F.col("alliance"))).alias("label"), corrected(F.col("alliance"), fixes).isNotNull().alias("manual"))
+    fixed = corrected(counted, "alliance", corrections_table(players.sparkSession, corrections), "_fix")
+    seen = fixed.select(*group, "alliance", "n_rows", F.coalesce("_fix", normal_label(F.col("alliance"))).alias("label"), F.col("_fix").isNotNull().alias("manual"))
 
     def parted(labels: DataFrame) -> DataFrame:
         parts = labels.withColumn("tag", label_tag(F.col("label"))).withColumn("name", label_name(F.col("label")))
@@ -121,13 +148,18 @@ def label_repairs(players: DataFrame, known: DataFrame, corrections: dict[str, s
     return joined.select(*group, "alliance", after.alias("after"), reason.alias("reason"), reviews.alias("reviews"))
 
 
-def apply_repairs(players: DataFrame, repairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cleaned players, changes, reviews) from ``label_repairs``."""
-    joined = players.join(repairs.withColumnRenamed("alliance", "_a"), F.col("alliance").eqNullSafe(F.col("_a")), "left").drop("_a")
+def apply_repairs(players: DataFrame, repairs: DataFrame, group: list[str] = []) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cleaned players, changes, reviews) from ``label_repairs`` of the same ``group``."""
+    told = repairs.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("alliance").alias("_a"), "after", "reason", "reviews")
+    same = F.col("alliance").eqNullSafe(F.col("_a"))
+    for g in group:
+        same = same & (F.col(g) == F.col(f"_{g}"))
+    joined = players.join(told, same, "left").drop("_a", *[f"_{g}" for g in group])
     cleaned = joined.withColumn("alliance", F.coalesce("after", "alliance")).withColumn("alliance_tag", label_tag(F.col("alliance"))).withColumn("alliance_name", label_name(F.col("alliance"))).drop("after", "reason", "reviews")
-    changes = joined.where(~F.col("alliance").eqNullSafe(F.col("after"))).select("rank", F.lit("alliance").alias("field"), F.col("alliance").alias("before"), "after", "reason")
-    reviews = joined.select("rank", F.coalesce("server", F.lit("")).alias("server"), F.col("after").alias("observed"), F.explode("reviews").alias("known"))
-    return cleaned, changes, reviews.withColumn("alliance", label_name(F.col("observed")))
+    changes = joined.where(~F.col("alliance").eqNullSafe(F.col("after"))).select(*group, "rank", F.lit("alliance").alias("field"), F.col("alliance").alias("before"), "after", "reason")
+    reviews = joined.select(*group, "rank", F.coalesce("server", F.lit("")).alias("server"), F.col("after").alias("observed"), F.explode("reviews").alias("known"))
+    name = F.when(label_tag(F.col("observed")) != "", label_name(F.col("observed"))).otherwise(F.col("observed"))
+    return cleaned, changes, reviews.withColumn("alliance", name)
 
 
 def name_overrides(players: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -137,6 +169,32 @@ def name_overrides(players: DataFrame, overrides: DataFrame) -> DataFrame:
     return joined.withColumn("overridden", F.col("canonical").isNotNull()).withColumn("commander", F.coalesce("canonical", "commander")).drop("canonical")
 
 
+def delete_keys(text: Column, limit: int) -> Column:
+    """``text`` and what is left of it without up to ``limit`` letters: texts within ``limit`` edits share one of these."""
+    without = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
+    out = level = F.array(text)
+    for _ in range(limit):
+        level = F.array_distinct(F.flatten(F.transform(level, without)))
+        out = F.array_union(out, level)
+    return out
+
+
+def near_looks(left: DataFrame, right: DataFrame, on: list[str], limit: int) -> DataFrame:
+    """``on, _look, _known_look`` of the looks of both sides at most ``limit`` edits apart.
+
+    Each distinct look is spread over its delete keys, which are hashed with
+    ``on``; sides meet on the hash alone, so a large group of ``on`` is spread
+    too and nothing is compared with all others.
+    """
+    keyed = lambda df, look: df.select(*on, look).distinct().withColumn("_key", F.explode(F.transform(delete_keys(F.col(look), limit), lambda k: F.xxhash64(*on, k))))
+    a, b = keyed(left, "_look"), keyed(right, "_known_look").select("_key", "_known_look", *[F.col(c).alias(f"_{c}") for c in on])
+    same = F.lit(True)
+    for c in on:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    met = a.join(b, "_key").where(same & F.levenshtein("_look", "_known_look", limit).between(0, limit))
+    return met.select(*on, "_look", "_known_look").distinct()
+
+
 def name_candidates(players: DataFrame, known: DataFrame, known_with: DataFrame, key: Column | None = None, look: Column | None = None, limit: int = 1, group: list[str] = []) -> DataFrame:
     """``group, rank, server, observed, known, alliance``: known names within ``limit`` edits of an unknown one.
 
@@ -147,12 +205,45 @@ def name_candidates(players: DataFrame, known: DataFrame, known_with: DataFrame,
     keyed = players.where(F.col("commander").isNotNull() & (F.col("commander") != UNREADABLE)).withColumn("name_key", name_key(F.col("commander")) if key is None else key).where("name_key <> ''")
     new = keyed.join(known.select("server", "name_key"), ["server", "name_key"], "left_anti").withColumn("_look", confusable_key(F.col("commander")) if look is None else look)
     free = known.join(known_with, ["server", "name_key"]).withColumn("_known_look", confusable_key(F.col("commander")) if look is None else look)
-    joined = new.alias("n").join(free.alias("k"), (F.col("n.server") == F.col("k.server")) & (F.col("n.alliance") == F.col("k.alliance")))
-    near = joined.where(F.levenshtein(F.col("n._look"), F.col("k._known_look"), limit).between(0, limit))
-    found = near.select(*[f"n.{c}" for c in group], "n.rank", "n.server", F.col("n.commander").alias("observed"), F.col("k.commander").alias("known"), "n.alliance", "k.name_key").distinct()
+    on = ["server", "alliance"]
+    new = new.select(*group, "rank", *on, F.col("commander").alias("observed"), "_look")
+    free = free.select(*on, F.col("commander").alias("known"), "name_key", "_known_look")
+    found = new.join(near_looks(new, free, on, limit), [*on, "_look"]).join(free, [*on, "_known_look"]).select(*group, "rank", *on, "observed", "known", "name_key").distinct()
     return found.join(keyed.select(*group, "server", "name_key").distinct(), [*group, "server", "name_key"], "left_anti").select(*group, "rank", "server", "observed", "known", "alliance").distinct()
 
 
+def decide_names(players: DataFrame, known: DataFrame, known_with: DataFrame, overrides: DataFrame, group: list[str] = []) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(players with overridden names, changes, reviews): overrides are applied, near names of others only reported.
+
+    Names that are on the list before anything is renamed are no candidates.
+    A null or empty name is neither overridden nor reported.
+    """
+    named = name_overrides(players.withColumn("_before", F.col("commander")), overrides)
+    changes = named.where("overridden and commander <> _before").select(*group, "rank", F.lit("commander").alias("field"), F.col("_before").alias("before"), F.col("commander").alias("after"), F.lit("manual override").alias("reason"))
+    found = name_candidates(players, known, known_with, group=group)
+    given = named.where("overridden").select(*group, "rank", F.col("_before").alias("observed")).distinct()
+    reviews = found.join(given, [*group, "rank", "observed"], "left_anti")
+    return named.drop("_before", "overridden"), changes, reviews
+
+
+def clean_batch(players: DataFrame, home: str, known_labels: DataFrame, known: DataFrame, known_with: DataFrame, corrections=None, label_overrides=None, overrides: DataFrame | None = None, group: list[str] = []) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows cleaned, labels repaired, names decided: (players, changes, reviews).
+
+    ``changes`` have ``group, rank, field, before, after, reason``; ``reviews``
+    ``group, rank, field, server, observed, known, alliance``.  ``known_labels``
+    (label), ``known`` and ``known_with`` (see ``known_names``) come from
+    earlier lists.
+    """
+    rows = clean_players(players, home, corrections, known_labels)
+    repaired, changes, reviews = apply_repairs(rows, label_repairs(rows, known_labels, label_overrides, group=group), group)
+    if overrides is None:
+        overrides = players.sparkSession.createDataFrame([], "server string, observed string, canonical string")
+    named, renamed, asked = decide_names(repaired, known, known_with, overrides, group)
+    columns = [*group, "rank", "field", "server", "observed", "known", "alliance"]
+    both = reviews.withColumn("field", F.lit("alliance")).select(*columns).unionByName(asked.withColumn("field", F.lit("commander")).select(*columns))
+    return named, changes.unionByName(renamed), both
+
+
 def running_candidates(players: DataFrame, event: str = "event_id", limit: int = 1) -> DataFrame:
     """``event, rank, server, observed, known, alliance``: what ``name_candidates`` gives for each event against all
     earlier ones, by the order of ``event``.  ``players`` have ``pos``, by which ties of spellings go to the first.
@@ -173,9 +264,12 @@ def running_candidates(players: DataFrame, event: str = "event_id", limit: int =
     seen_with = keyed.where("alliance is not null").groupBy(*player, "alliance").agg(F.min(event).alias("with_since"))
     free = held.join(seen_with, player).withColumn("since", F.greatest("since", "with_since"))
     now = F.col(f"n.{event}")
-    meet = (F.col("n.server") == F.col("k.server")) & (F.col("n.alliance") == F.col("k.alliance")) & (now > F.col("k.since")) & (F.col("k.until").isNull() | (now <= F.col("k.until")))
-    near = new.alias("n").join(free.alias("k"), meet).where(F.levenshtein(F.col("n._look"), F.col("k._known_look"), limit).between(0, limit))
-    found = near.select(f"n.{event}", "n.rank", "n.server", F.col("n.commander").alias("observed"), "k.known", "n.alliance", "k.name_key").distinct()
+    on = ["server", "alliance"]
+    new = new.select(event, "rank", *on, F.col("commander").alias("observed"), "_look")
+    free = free.select(*on, "since", "until", "known", "name_key", "_known_look")
+    met = new.join(near_looks(new, free, on, limit), [*on, "_look"]).alias("n").join(free.alias("k"), [*on, "_known_look"])
+    near = met.where((now > F.col("k.since")) & (F.col("k.until").isNull() | (now <= F.col("k.until"))))
+    found = near.select(f"n.{event}", "n.rank", "server", "n.observed", "k.known", "alliance", "k.name_key").distinct()
     return found.join(keyed.select(event, *player).distinct(), [event, *player], "left_anti").select(event, "rank", "server", "observed", "known", "alliance").distinct()
 
 

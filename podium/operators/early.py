@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.text import name_key, nfkc_fold
+from podium.operators import frames, vote
+from podium.operators.clean import near_looks
+from podium.session import durable
 
 #: Most edits between an early name and a later one, fixed value.
 NEAR = 2
@@ -66,25 +69,58 @@ def within(a: str, b: str, limit: int) -> bool:
 
 
 def match_early(early: DataFrame, later: DataFrame, group: str = "event_id", home: str = "117") -> DataFrame:
-    """``group, early_rank, later_pos``: pairs of each group's early and later rows.
-
-    The greedy assignment needs one group's two lists in order; a group is one
-    event's list of players, and different events go to different tasks.
+    """``group, early_rank, later_pos``: pairs of each group's early and later rows, by the rules of ``pair_players``.
+
+    Rows of a key that stands once on either side meet by joins alone.  Only
+    keys repeated on both sides go through Python, key by key, and after them,
+    group by group, the few pairs of left-over rows with near names, because
+    there an earlier choice bars a later one.  Near names are found by their
+    delete keys within server and alliance, never row by row.  Empty tables
+    and null attributes are allowed; a null rank or pos pairs with nothing.
     """
-    def side(df: DataFrame, order: str) -> DataFrame:
+    def side(df: DataFrame, order: str, s: str) -> DataFrame:
         server = F.regexp_replace(F.coalesce("server", F.lit("")), "^[Ss]+", "")
         label = nfkc_fold(F.regexp_replace(F.coalesce("alliance", F.lit("")), r"(?U)\s", ""))
-        return df.select(group, F.col(order).alias("order"), name_key(F.col("commander")).alias("key"), server.alias("server"), label.alias("group_key"))
-
-    def pairs(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        sides = [d.sort_values("order").rename(columns={"group_key": "group"}) for d in (left, right)]
-        rows = [d.drop(columns=group_name).to_dict("records") for d in sides]
-        found = pair_players(rows[0], rows[1], home)
-        return pd.DataFrame([(key[0], rows[0][n]["order"], rows[1][i]["order"]) for n, i in found.items()], columns=[group_name, "early_rank", "later_pos"])
+        return df.where(F.col(order).isNotNull()).select(F.col(group).alias("g"), F.col(order).cast("bigint").alias(f"o_{s}"), name_key(F.col("commander")).alias("key"), server.alias(f"server_{s}"), label.alias(f"label_{s}"))
 
-    group_name = group
     kind = dict(early.dtypes)[group]
-    return side(early, "rank").groupBy(group).cogroup(side(later, "pos").groupBy(group)).applyInPandas(pairs, f"{group} {kind}, early_rank int, later_pos bigint")
+    left, right = durable(side(early, "rank", "a")), durable(side(later, "pos", "b"))
+    many = left.groupBy("g", "key").agg(F.count("*").alias("n_a")).join(right.groupBy("g", "key").agg(F.count("*").alias("n_b")), ["g", "key"])
+    twice = many.where("n_a > 1 and n_b > 1").select("g", "key")
+    met = left.join(many.where("n_a = 1 or n_b = 1").select("g", "key"), ["g", "key"]).join(right, ["g", "key"])
+    least = F.struct((2 * (F.col("server_a") != F.col("server_b")).cast("int") + (F.col("label_a") != F.col("label_b")).cast("int")).alias("d"), "o_b", "server_b")
+    # One early row takes the later one it disagrees with least; of several early rows the first takes the only later one.
+    chosen = met.groupBy("g", "key", "o_a", "server_a").agg(F.min(least).alias("c"))
+    first = F.row_number().over(Window.partitionBy("g", "key", "c.o_b").orderBy("o_a"))
+    single = chosen.withColumn("n", first).where("n = 1").select("g", "o_a", "c.o_b", "server_a", "c.server_b")
+
+    def repeated(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        rows = [d.rename(columns=lambda c: {"server_a": "server", "server_b": "server", "label_a": "group", "label_b": "group"}.get(c, c)).sort_values(o).to_dict("records") for d, o in ((a, "o_a"), (b, "o_b"))]
+        found = pair_players(*rows, home)
+        return pd.DataFrame([(key[0], rows[0][n]["o_a"], rows[1][i]["o_b"], rows[0][n]["server"], rows[1][i]["server"]) for n, i in found.items()], columns=["g", "o_a", "o_b", "server_a", "server_b"])
+
+    of = lambda df: df.join(twice, ["g", "key"], "left_semi").groupBy("g", "key")
+    greedy = of(left).cogroup(of(right)).applyInPandas(repeated, f"g {kind}, o_a bigint, o_b bigint, server_a string, server_b string")
+    exact = durable(single.unionByName(greedy))
+    votes = exact.where("server_a = ''").groupBy("g", "server_b").agg(F.count("*").alias("n"), F.min("o_a").alias("o"))
+    homes = votes.groupBy("g").agg(F.min(F.struct((-F.col("n")).alias("m"), "o", F.col("server_b").alias("v"))).alias("h")).select("g", F.col("h.v").alias("home"))
+    place = lambda df, s: df.join(homes, "g", "left").withColumn("place", F.when(F.col(f"server_{s}") != "", F.col(f"server_{s}")).otherwise(F.coalesce("home", F.lit(home)))).drop("home")
+    free_a = place(left.where("key <> ''").join(right.select("g", "key").distinct(), ["g", "key"], "left_anti").join(exact.select("g", "o_a"), ["g", "o_a"], "left_anti"), "a").select("g", "place", F.col("label_a").alias("label"), "o_a", F.col("key").alias("_look"))
+    free_b = place(right.join(exact.select("g", "o_b"), ["g", "o_b"], "left_anti"), "b").select("g", "place", F.col("label_b").alias("label"), "o_b", F.col("key").alias("_known_look"))
+    on = ["g", "place", "label"]
+    offers = near_looks(free_a, free_b, on, NEAR).join(free_a, [*on, "_look"]).join(free_b, [*on, "_known_look"]).select("g", "o_a", "o_b")
+
+    def settle(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        used, out = set(), []
+        for o_a, offered in pdf.sort_values(["o_a", "o_b"]).groupby("o_a", sort=True).o_b:
+            left_over = [o for o in offered if o not in used]
+            if len(left_over) == 1:
+                used.add(left_over[0])
+                out.append((key[0], o_a, left_over[0]))
+        return pd.DataFrame(out, columns=["g", "o_a", "o_b"])
+
+    near = offers.groupBy("g").applyInPandas(settle, f"g {kind}, o_a bigint, o_b bigint")
+    return exact.select("g", "o_a", "o_b").unionByName(near).select(F.col("g").alias(group), F.col("o_a").cast("int").alias("early_rank"), F.col("o_b").alias("later_pos"))
 
 
 def clean_cutoff(early: DataFrame, later: DataFrame, matches: DataFrame, group: str = "event_id") -> DataFrame:
@@ -124,3 +160,14 @@ def merge_early(early: DataFrame, later: DataFrame, matches: DataFrame, cutoffs:
         group, F.row_number().over(order).alias("rank"), "commander", "alliance", "server", F.coalesce("early_points", "points").alias("points"), F.col("rank").alias("later_rank"),
         F.coalesce(F.col("early_rank").isNull() & (F.col("points") > F.col("cutoff_points")), F.lit(False)).alias("passed"),
     )
+
+
+def parse_early(boxes: DataFrame, frames_of: DataFrame, group: str = "event_id") -> DataFrame:
+    """The list of each group from screens of any size: boxes fitted to the usual screen, parsed and voted.
+
+    ``frames_of`` (frame, group, frame_no) tells whose screens they are and in
+    which order they were taken.  Screens are read one by one, without a rank
+    known before.
+    """
+    parsed = frames.parse_frames(frames.fit_screen(boxes)).join(frames_of.select("frame", group, "frame_no"), "frame")
+    return vote.merge_readings(parsed.withColumn("seq", F.struct("frame_no", "rank")), [group, "rank"])

@@ -9,6 +9,8 @@ depends on the last, is a pandas UDF over those arrays.
 
 from __future__ import annotations
 
+from statistics import median
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,30 +91,75 @@ def _half_even(value: Column) -> Column:
     return F.rint(value).cast("int")
 
 
-def parse_frames(boxes: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Rows of the list in each frame: ``frame, rank, commander, alliance, server, points, y, tainted, complete, name_unreadable``.
-
-    ``before`` (frame, prev_max_rank) gives the greatest rank known before a
-    frame; readings far behind it do not count for the frame's offset.  Frames
-    without a rank or points give no rows.
-    """
+def _slotted(boxes: DataFrame) -> DataFrame:
+    """One row of each frame: its boxes by zone, banner mark, slots, their steps from the top and the offsets its rank digits offer."""
     zoned = zones(boxes)
     packed = zoned.where("zone is not null").groupBy("frame").agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y", "zone", "number", F.trim("text").alias("t")))).alias("items"))
-    packed = packed.join(banner_marks(boxes).select("frame", "banner_detected"), "frame")
-    packed = packed.join(before, "frame", "left") if before is not None else packed.withColumn("prev_max_rank", F.lit(None).cast("int"))
+    packed = banner_marks(boxes).select("frame", "banner_detected").join(packed, "frame", "left")
     anchors = F.filter("items", lambda i: i["zone"] != "middle")
     heights = F.transform(F.sort_array(F.transform(anchors, lambda i: F.struct((-i["y"]).alias("y"), i["seq"]))), lambda s: -s["y"])
-    framed = packed.withColumn("slots", cluster_means(heights)).where(F.size("slots") > 0)
+    framed = packed.withColumn("slots", cluster_means(heights))
     framed = framed.withColumn("steps", F.transform("slots", lambda c: _half_even((F.col("slots")[0] - c) / PITCH)))
     # The slot of an anchor is the nearest; anchors were clustered around those means.
     nearest = lambda y: F.array_min(F.transform(F.col("slots"), lambda c, i: F.struct(F.abs(c - y).alias("d"), i.alias("i"))))["i"]
-    offers = F.transform(F.filter("items", lambda i: i["zone"] == "rank"), lambda i: i["number"] - F.get("steps", nearest(i["y"])))
-    framed = framed.withColumn("offers", F.filter(offers, lambda o: F.col("prev_max_rank").isNull() | (o >= F.col("prev_max_rank") - LOOK_BACK)))
+    return framed.withColumn("offers", F.transform(F.filter("items", lambda i: i["zone"] == "rank"), lambda i: i["number"] - F.get("steps", nearest(i["y"]))))
+
+
+def _fitted(framed: DataFrame, before: DataFrame | None) -> DataFrame:
+    """``framed`` with the ``offset`` of each frame, null for one without anchors."""
+    framed = framed.join(before.select("frame", "prev_max_rank"), "frame", "left") if before is not None else framed.withColumn("prev_max_rank", F.lit(None).cast("int"))
+    framed = framed.withColumn("offers", F.filter("offers", lambda o: F.col("prev_max_rank").isNull() | (o >= F.col("prev_max_rank") - LOOK_BACK)))
     ordered = F.sort_array("offers")
     n = F.size("offers")
     median = (F.get(ordered, ((n - 1) / 2).cast("int")) + F.get(ordered, (n / 2).cast("int"))) / 2
     offset = F.when(n > 0, _half_even(median)).otherwise(F.coalesce(F.col("prev_max_rank") + 1, F.lit(1)))
-    framed = framed.withColumn("offset", F.greatest(offset, F.lit(1)))
+    return framed.withColumn("offset", F.when(F.size("slots") > 0, F.greatest(offset, F.lit(1))))
+
+
+def frame_fits(boxes: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``frame, banner_detected, offset, n_rows`` of every frame; one without a rank or points has no offset and no rows."""
+    return _fitted(_slotted(boxes), before).select("frame", "banner_detected", "offset", F.greatest(F.size("slots"), F.lit(0)).alias("n_rows"))
+
+
+_BEFORE = "frame string, prev_max_rank int"
+
+
+def ranks_before(boxes: DataFrame, captures: DataFrame) -> DataFrame:
+    """``frame, prev_max_rank``: the greatest rank that the frames before a frame of the same capture showed.
+
+    ``captures`` (frame, capture_id, frame_no) gives the order.  A frame's
+    offset depends on the rank before it, which depends on earlier offsets, so
+    each capture is a fold over its frames; only a frame's offers and steps
+    take part, and the fold's state is one number.
+    """
+    rows = captures.select("frame", "capture_id", "frame_no").join(_slotted(boxes), "frame").select("capture_id", "frame_no", "frame", F.array_max("steps").alias("last"), F.col("offers").cast("array<bigint>").alias("offers"))
+
+    def fold(batches):
+        capture, best = None, None
+        for pdf in batches:
+            out = []
+            for key, frame, last, offers in zip(pdf.capture_id, pdf.frame, pdf["last"], pdf.offers):
+                if key != capture:
+                    capture, best = key, None
+                out.append((frame, best))
+                if last == last and last is not None:
+                    fit = [o for o in offers if best is None or o >= best - LOOK_BACK] if offers is not None else []
+                    offset = round(median(fit)) if fit else 1 if best is None else best + 1
+                    best = max(best or 0, max(int(offset), 1) + int(last))
+            yield pd.DataFrame({"frame": [o[0] for o in out], "prev_max_rank": pd.array([o[1] for o in out], dtype="Int32")})
+
+    return rows.repartition("capture_id").sortWithinPartitions("capture_id", "frame_no", "frame").mapInPandas(fold, _BEFORE)
+
+
+def parse_frames(boxes: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Rows of the list in each frame: ``frame, rank, commander, alliance, server, points, y, tainted, complete, name_unreadable``.
+
+    ``before`` (frame, prev_max_rank; see ``ranks_before``) gives the greatest
+    rank known before a frame; readings far behind it do not count for the
+    frame's offset.  Frames without a rank or points give no rows here; they
+    stand in ``frame_fits``.
+    """
+    framed = _fitted(_slotted(boxes), before).where(F.size("slots") > 0)
     # A middle box belongs to the nearest slot within half a pitch, the lower one on ties.
     lower = lambda y: F.array_min(F.transform(F.filter(F.transform(F.col("slots"), lambda c, i: F.struct(F.abs(c - y).alias("d"), (-i).alias("i"))), lambda s: s["d"] <= PITCH / 2), lambda s: s))["i"]
     framed = framed.withColumn("middle", F.transform(F.filter("items", lambda i: i["zone"] == "middle"), lambda i: F.struct((-i["y"]).alias("y"), i["seq"].alias("seq"), i["t"].alias("t"), (-lower(i["y"])).alias("slot"))))

@@ -55,26 +55,45 @@ def duplicate_players(players: DataFrame, group: str = "event_id", key=None) ->
     return found.where("n > 1")
 
 
-def validate(players: DataFrame, group: str = "event_id") -> DataFrame:
-    """Errors of each group: ``group, error, n, sample``; the sample holds the first 15 ranks."""
-    def told(rows: DataFrame, error: str) -> DataFrame:
-        numbered = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy("rank")))
-        sample = F.sort_array(F.collect_list(F.when(F.col("_n") <= 15, F.col("rank"))))
-        return numbered.groupBy(group).agg(F.lit(error).alias("error"), F.count("*").alias("n"), sample.alias("sample")).select(group, "error", "n", "sample")
-
-    return (
-        told(missing_ranks(players, group), "missing rank")
-        .unionByName(told(players.where("commander is null or commander = ''"), "empty commander"))
-        .unionByName(told(players.where("points is null"), "missing points"))
-        .unionByName(told(order_violations(players, group), "not monotonic"))
-    )
-
-
-def report(merged: DataFrame, group: str = "event_id") -> DataFrame:
-    """One row of counters per group, and whether it passes: no gap, no violation, nothing unresolved."""
-    base = merged.groupBy(group).agg(F.count("*").alias("n_records"), F.max("rank").alias("max_rank"), F.count(F.when(F.col("used_tainted"), 1)).alias("n_tainted"), F.count(F.when(F.col("n_clean") == 1, 1)).alias("n_single_clean"))
-    count = lambda rows, name: rows.groupBy(group).agg(F.count("*").alias(name))
-    out = base
-    for rows, name in ((missing_ranks(merged, group), "n_missing"), (order_violations(merged.withColumn("pos", F.col("rank")), group), "n_violations"), (unresolved_ranks(merged, group), "n_unresolved")):
-        out = out.join(count(rows, name), group, "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    return out.withColumn("passed", (F.col("n_missing") == 0) & (F.col("n_violations") == 0) & (F.col("n_unresolved") == 0))
+def validate(players: DataFrame, group: str = "event_id", most: int = 15) -> DataFrame:
+    """Errors of each group: ``group, error, n, sample``; the sample holds the first ``most`` ranks.
+
+    One pass: a row tells the gap before its rank, its missing fields and
+    whether it has more points than the row before it.
+    """
+    per = Window.partitionBy(group).orderBy("rank")
+    before = F.lag("points").over(Window.partitionBy(group).orderBy("pos"))
+    rows = players.select(group, "rank", "commander", "points", F.coalesce(F.lag("rank").over(per), F.lit(0)).alias("_r"), before.alias("_p"))
+    here = F.array("rank")
+    told = [
+        ("missing rank", (F.col("rank") - F.col("_r") > 1), F.sequence(F.col("_r") + 1, F.col("rank") - 1)), ("empty commander", F.coalesce("commander", F.lit("")) == "", here),
+        ("missing points", F.col("points").isNull(), here), ("not monotonic", F.coalesce(F.col("points") > F.col("_p"), F.lit(False)), here),
+    ]
+    each = F.filter(F.array(*[F.when(holds, F.struct(F.lit(error).alias("error"), ranks.alias("ranks"))) for error, holds, ranks in told]), lambda x: x.isNotNull())
+    errors = rows.select(group, F.explode(each).alias("x")).select(group, "x.error", F.explode("x.ranks").alias("rank"))
+    numbered = errors.withColumn("_n", F.row_number().over(Window.partitionBy(group, "error").orderBy("rank")))
+    sample = F.sort_array(F.collect_list(F.when(F.col("_n") <= most, F.col("rank"))))
+    return numbered.groupBy(group, "error").agg(F.count("*").alias("n"), sample.alias("sample"))
+
+
+def report(merged: DataFrame, group: str = "event_id", frames: DataFrame | None = None) -> DataFrame:
+    """One row of counters per group, and whether it passes: no gap, no violation, nothing unresolved, nobody twice.
+
+    ``frames`` (group, banner_detected) adds ``n_banner_frames``.  Counters
+    come from one window over each group's ranks, those who stand twice from
+    one aggregation.
+    """
+    per = Window.partitionBy(group).orderBy("rank")
+    rows = merged.withColumn("_gap", F.col("rank") - F.coalesce(F.lag("rank").over(per), F.lit(0)) - 1).withColumn("_up", F.col("points") > F.lag("points").over(per))
+    doubt = (F.col("n_clean") == 0) | (F.coalesce("points_agreement", F.lit(1.0)) <= 0.5) | (F.coalesce("commander_agreement", F.lit(1.0)) < 0.5)
+    out = rows.groupBy(group).agg(
+        F.count("*").alias("n_records"), F.max("rank").alias("max_rank"), F.count(F.when(F.col("used_tainted"), 1)).alias("n_tainted"), F.count(F.when(F.col("n_clean") == 1, 1)).alias("n_single_clean"),
+        F.count(F.when(F.col("name_unreadable"), 1)).alias("n_unreadable"), F.sum(F.greatest("_gap", F.lit(0))).cast("bigint").alias("n_missing"), F.count(F.when(F.col("_up"), 1)).alias("n_violations"), F.count(F.when(doubt, 1)).alias("n_unresolved"),
+    )
+    count = lambda found, name: found.groupBy(group).agg(F.count("*").alias(name))
+    extra = [(count(duplicate_players(merged.where(~F.coalesce("name_unreadable", F.lit(False))), group), "n_duplicates"), "n_duplicates")]
+    if frames is not None:
+        extra.append((count(frames.where("banner_detected"), "n_banner_frames"), "n_banner_frames"))
+    for counted, name in extra:
+        out = out.join(counted, group, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out.withColumn("passed", (F.col("n_missing") == 0) & (F.col("n_violations") == 0) & (F.col("n_unresolved") == 0) & (F.col("n_duplicates") == 0))

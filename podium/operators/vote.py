@@ -12,7 +12,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,19 +115,42 @@ def merge_readings(readings: DataFrame, keys: list[str]) -> DataFrame:
     ``readings`` have ``commander, alliance, server, points, y, seq, complete,
     tainted, name_unreadable``.  A null server votes (it is home).  Where no
     name could be read but a row was seen, the name is a fixed text.
+
+    All fields vote in one go: a reading gives one row for each field, counted
+    by (key, field, value, tier) before the first shuffle, so a key with a
+    third of all readings is spread over its values; only these counts are
+    brought together by key in the second.
     """
-    fields = ["commander", "alliance", "server", "points", "y", "seq", "name_unreadable", "n_obs", "n_clean", "used_tainted"]
-    pool = durable(best_tier(readings, keys).select(*keys, *fields))
-    facts = pool.groupBy(*keys).agg(F.first("n_obs").alias("n_obs"), F.first("n_clean").alias("n_clean"), F.first("used_tainted").alias("used_tainted"), F.max(F.coalesce("name_unreadable", F.lit(False))).alias("name_unreadable"))
-    points = vote(pool, keys, "points").select(*keys, "points", F.col("agreement").alias("points_agreement"))
-    alliance = vote(pool, keys, "alliance").select(*keys, F.coalesce("alliance", F.lit("")).alias("alliance"), F.col("agreement").alias("alliance_agreement"))
-    server = vote(pool, keys, "server", nulls=True, by_distance=False).select(*keys, "server")
-    names = vote_name_similar(pool, keys).select(*keys, "commander", F.col("agreement").alias("commander_agreement"))
-    out = facts.join(points, keys, "left").join(alliance, keys, "left").join(server, keys, "left").join(names, keys, "left")
-    lost = F.col("commander").isNull() & F.col("name_unreadable")
+    complete, tainted = F.coalesce("complete", F.lit(False)), F.coalesce("tainted", F.lit(False))
+    tier = F.when(complete & ~tainted, 1).when(complete, 2).otherwise(3)
+    far = distance()
+    told = lambda f, v, ok, d: F.when(ok, F.struct(F.lit(f).alias("f"), v.cast("string").alias("v"), F.struct(d.alias("d"), F.col("seq").alias("s")).alias("k")))
+    has = lambda c: F.col(c).isNotNull() & (F.col(c).cast("string") != "")
+    fields = [told(c, F.col(c), has(c), far) for c in ("points", "alliance", "commander")]
+    fields += [told("server", F.col("server"), F.lit(True), F.lit(0.0)), told("row", F.lit(None), F.lit(True), F.lit(0.0))]
+    spread = readings.select(*keys, tier.alias("tier"), tainted.alias("t"), F.coalesce("name_unreadable", F.lit(False)).alias("u"), "seq", F.explode(F.filter(F.array(*fields), lambda x: x.isNotNull())).alias("x"))
+    counted = spread.groupBy(*keys, "x.f", "x.v", "tier").agg(F.count("*").alias("n"), F.min("x.k").alias("k"), F.min("seq").alias("s"), F.max("t").alias("t"), F.max("u").alias("u"))
+    counted = durable(counted.withColumn("core", F.when(F.col("f") == "commander", name_key(F.col("v"))).otherwise(F.col("v")))).repartition(*keys)
+    of_key, rows = Window.partitionBy(*keys), F.when(F.col("f") == "row", F.col("n"))
+    pool = counted.withColumn("best", F.min("tier").over(of_key)).withColumn("n_obs", F.sum(rows).over(of_key)).withColumn("n_clean", F.coalesce(F.sum(F.when(F.col("tier") == 1, rows)).over(of_key), F.lit(0))).where("tier = best")
+    voted = pool.groupBy(*keys, "n_obs", "n_clean", "best", "f", "core").agg(F.sum("n").alias("n"), F.min("k").alias("k"), F.min(F.struct((-F.col("n")).alias("m"), "s", "v")).alias("form"), F.max("t").alias("t"), F.max("u").alias("u"))
+    names = ("points", "alliance", "commander", "server")
+    best = [F.min(F.when(F.col("f") == c, F.struct((-F.col("n")).alias("m"), "k", F.col("form.v").alias("v")))).alias(f"b_{c}") for c in names]
+    total = [F.sum(F.when(F.col("f") == c, F.col("n"))).alias(f"n_{c}") for c in names]
+    one = voted.groupBy(*keys, "n_obs", "n_clean", "best").agg(*best, *total, F.max("t").alias("t"), F.max("u").alias("name_unreadable"))
+    share = lambda c: F.coalesce(F.bround(-F.col(f"b_{c}.m") / F.col(f"n_{c}"), 3), F.lit(0.0))
+    one = one.withColumn("sure", share("commander"))
+    forms = pool.where("f = 'commander'").join(one.where((F.col("n_commander") > 0) & (F.col("sure") <= FALLBACK)).select(*keys), keys, "left_semi")
+    packed = forms.groupBy(*keys).agg(F.collect_list(F.struct(F.col("v").alias("name"), "core", "n", F.col("k.d").alias("d"), "s")).alias("_f"))
+    settled = packed.withColumn("_b", _settle("_f")).select(*keys, "_b")
+    out = one.join(settled, keys, "left")
+    lost = F.col("b_commander").isNull() & F.col("name_unreadable")
+    used = F.when(F.col("best") == 1, False).when(F.col("best") == 2, True).otherwise(F.col("t"))
+    name = F.coalesce("_b.name", "b_commander.v", F.lit(""))
     return out.select(
-        *keys, F.when(lost, F.lit(UNREADABLE)).otherwise(F.coalesce("commander", F.lit(""))).alias("commander"), "alliance", "server", "points", "n_obs", "n_clean", "used_tainted", "name_unreadable",
-        "points_agreement", F.when(lost, F.lit(1.0)).otherwise(F.coalesce("commander_agreement", F.lit(0.0))).alias("commander_agreement"), "alliance_agreement",
+        *keys, F.when(lost, F.lit(UNREADABLE)).otherwise(name).alias("commander"), F.coalesce("b_alliance.v", F.lit("")).alias("alliance"), F.col("b_server.v").alias("server"), F.col("b_points.v").cast("bigint").alias("points"),
+        "n_obs", "n_clean", used.alias("used_tainted"), "name_unreadable", share("points").alias("points_agreement"),
+        F.when(lost, F.lit(1.0)).otherwise(F.coalesce("_b.agreement", "sure")).alias("commander_agreement"), share("alliance").alias("alliance_agreement"),
     )
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.operators import evidence, frames, history, legacy, publish, rollup
+from podium.operators import early, evidence, frames, history, legacy, publish, rollup
 from podium.plans.boards import BOARD_SQL, MANIFEST_SQL, board, manifest
-from podium.session import table
+from podium.session import durable, table
 
 _ID = ["server", "commander"]
 _EDGES = [10, 50, 100]
@@ -135,19 +135,68 @@ def region_filter(s: SparkSession, d: str) -> DataFrame:
     return frames.first_per_region(boxes, "^(click|purchase|view)", 0.2, 0.8, 0.1, 0.9).select("frame", "seq", "text")
 
 
-def _screens(s: SparkSession, d: str) -> DataFrame:
-    """The board drawn as screens: seven ranks a frame, each with boxes for rank, name, label, server and points."""
-    rows = board(s, d).where("commander <> '' and alliance <> '' and server is not null and points is not null and not startswith(commander, '[')")
-    placed = rows.withColumn("frame", F.concat_ws(":", "event_id", F.floor((F.col("rank") - 1) / 7))).withColumn("yy", 0.78 - F.pmod(F.col("rank") - 1, F.lit(7)) * frames.PITCH)
-    box = lambda text, x, dy, k: F.struct((F.col("rank") * 10 + k).alias("seq"), text.alias("text"), F.lit(x).alias("x"), (F.col("yy") + dy).alias("y"), F.lit(0.08).alias("width"), F.lit(0.02).alias("height"))
-    parts = F.array(box(F.col("rank").cast("string"), 0.1, 0.0, 0), box(F.col("commander"), 0.40, 0.02, 1), box(F.col("alliance"), 0.40, 0.0, 2), box(F.concat(F.lit("S"), "server"), 0.40, -0.02, 3), box(F.format_number("points", 0), 0.80, 0.0, 4))
-    return placed.select("frame", F.explode(parts).alias("b")).select("frame", "b.*")
+#: Ranks on a drawn screen and the height of its first row.
+_PER, _TOP = 9, 0.835
+
+
+def _screens(s: SparkSession, d: str, spoilt: bool = False) -> DataFrame:
+    """The board drawn as screens, nine ranks a frame, each with boxes for what the row has of rank, name, label, server and points.
+
+    ``spoilt`` ones show a banner with its close button over every fourth
+    frame and misread a rank on every fifth; every seventh has no rank digits,
+    and each event ends with a frame that shows no list.
+    """
+    rows = board(s, d).withColumn("f", F.floor((F.col("rank") - 1) / _PER)).withColumn("k", F.pmod(F.col("rank") - 1, F.lit(_PER)))
+    placed = rows.withColumn("frame", F.concat_ws(":", "event_id", "f")).withColumn("yy", F.lit(_TOP) - F.col("k") * frames.PITCH)
+    number = F.when((F.col("f") % 5 == 0) & (F.col("k") == 4), F.lit("1")).otherwise(F.col("rank").cast("string")) if spoilt else F.col("rank").cast("string")
+    box = lambda shown, text, x, dy, k: F.when(shown, F.struct((F.col("rank") * 10 + k).alias("seq"), text.alias("text"), F.lit(x).alias("x"), (F.col("yy") + dy).alias("y"), F.lit(0.08).alias("width"), F.lit(0.02).alias("height")))
+    has = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    parts = F.array(
+        box(F.col("f") % 7 != 3 if spoilt else F.lit(True), number, 0.1, 0.0, 0), box(has("commander"), F.col("commander"), 0.40, 0.02, 1), box(has("alliance"), F.col("alliance"), 0.40, 0.0, 2),
+        box(has("server"), F.concat(F.lit("S"), "server"), 0.40, -0.02, 3), box(F.col("points").isNotNull(), F.format_number("points", 0), 0.80, 0.0, 4),
+    )
+    drawn = placed.select("frame", F.explode(F.filter(parts, lambda b: b.isNotNull())).alias("b")).select("frame", "b.*")
+    if not spoilt:
+        return drawn
+    extra = lambda *boxes: F.explode(F.array(*[F.struct(F.lit(k).alias("seq"), F.lit(t).alias("text"), F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(w).alias("width"), F.lit(0.02).alias("height")) for k, t, x, y, w in boxes]))
+    banners = placed.where("f % 4 = 1").select("frame").distinct().select("frame", extra((1, "Event begins soon", 0.25, 0.78, 0.3), (2, "X", 0.90, 0.80, 0.02)).alias("b"))
+    ends = board(s, d).select(F.concat_ws(":", "event_id", F.lit("end")).alias("frame")).distinct().select("frame", extra((1, "Loading", 0.40, 0.5, 0.1)).alias("b"))
+    return drawn.unionByName(banners.unionByName(ends).select("frame", "b.*"))
+
+
+def _captures(boxes: DataFrame) -> DataFrame:
+    """The drawn screens of an event as one capture in the order of its ranks."""
+    return boxes.select("frame").distinct().select("frame", F.substring_index("frame", ":", 1).alias("capture_id"), F.coalesce(F.expr("try_cast(substring_index(frame, ':', -1) as int)"), F.lit(1 << 30)).alias("frame_no"))
 
 
 def frame_parse(s: SparkSession, d: str) -> DataFrame:
-    """The board read back from its screens."""
-    parsed = frames.parse_frames(_screens(s, d))
-    return parsed.select("frame", "rank", "commander", "alliance", "server", "points", "complete", "tainted")
+    """The board read back from its spoilt screens, frame after frame."""
+    boxes = durable(_screens(s, d, spoilt=True))
+    parsed = frames.parse_frames(boxes, frames.ranks_before(boxes, _captures(boxes)))
+    return parsed.select("frame", "rank", "commander", "alliance", "server", "points", "complete", "tainted", "name_unreadable")
+
+
+def frame_fits(s: SparkSession, d: str) -> DataFrame:
+    """Offset, rows and banner of every frame, those without a list too."""
+    boxes = durable(_screens(s, d, spoilt=True))
+    return frames.frame_fits(boxes, frames.ranks_before(boxes, _captures(boxes)))
+
+
+def banner_close(s: SparkSession, d: str) -> DataFrame:
+    """Where the banner of a frame is closed."""
+    return frames.banner_close(_screens(s, d, spoilt=True)).select("frame", "seq", "x", "y")
+
+
+def banner_frames(s: SparkSession, d: str) -> DataFrame:
+    """Frames of each event that a banner covers in part, and frames in all."""
+    marks = frames.banner_marks(_screens(s, d, spoilt=True)).withColumn("event_id", F.substring_index("frame", ":", 1))
+    return marks.groupBy("event_id").agg(F.count("*").alias("n_frames"), F.count(F.when(F.col("banner_detected"), 1)).alias("n_banner_frames"), F.count(F.when(F.col("is_list"), 1)).alias("n_lists"))
+
+
+def list_top(s: SparkSession, d: str) -> DataFrame:
+    """Frames that show the top of the list."""
+    boxes = _screens(s, d)
+    return frames.at_top(boxes, frames.parse_frames(boxes))
 
 
 def frame_parse_v1(s: SparkSession, d: str) -> DataFrame:
@@ -156,21 +205,33 @@ def frame_parse_v1(s: SparkSession, d: str) -> DataFrame:
     return parsed.select("frame", "rank", "commander", "alliance", "points", F.round("score", 6).alias("score"))
 
 
+def early_parse(s: SparkSession, d: str) -> DataFrame:
+    """The list of each event read from screens of another size: fitted, parsed and voted in one go."""
+    return early.parse_early(_moved(_screens(s, d)), _captures(_screens(s, d)).select("frame", F.col("capture_id").alias("event_id"), "frame_no")).drop("n_obs", "n_clean")
+
+
+def _moved(screens: DataFrame) -> DataFrame:
+    """Screens with a header, scaled and moved."""
+    heads = screens.select("frame").distinct().select("frame", F.explode(F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(t).alias("text"), F.lit(x - 0.04).alias("x"), F.lit((frames.TITLE_Y if t == "RANKINGS" else frames.COLUMN_Y) - 0.01).alias("y")) for i, (t, x) in enumerate(frames.HEADER_X.items())])).alias("h")).select("frame", "h.*", F.lit(0.08).alias("width"), F.lit(0.02).alias("height"))
+    return screens.unionByName(heads).select("frame", "seq", "text", (0.08 + 0.83 * F.col("x")).alias("x"), (0.13 + 0.70 * F.col("y")).alias("y"), (0.83 * F.col("width")).alias("width"), (0.70 * F.col("height")).alias("height"))
+
+
 def event_labels(s: SparkSession, d: str) -> DataFrame:
-    """Ids, script names and roles of the servers of published events."""
+    """Ids, script names and roles of the servers of published events.  For some events another opponent is given than
+    detected, and forced; for others none is given.
+    """
     rows = manifest(s, d).withColumn("server", F.explode(F.array("home_server", "opponent_server", F.lit("9999"))))
     made = publish.event_id(F.col("event_date"), F.col("home_server"), F.col("opponent_server"))
     role = publish.role_label(F.col("server"), F.col("home_server"), F.col("opponent_server"), F.col("home_role"))
-    sure = publish.resolve_matchup(F.col("opponent_server"), F.col("opponent_server"))
+    case = F.pmod("total_points", F.lit(3))
+    given = F.when(case == 0, "9999").when(case == 1, F.col("opponent_server"))
+    sure = publish.resolve_matchup(given, F.col("opponent_server"), case == 0)
     return rows.select("event_id", "server", made.alias("made_id"), publish.script_name(made).alias("script_name"), role.alias("role"), sure.alias("opponent"))
 
 
 def affine_fit(s: SparkSession, d: str) -> DataFrame:
     """Screens of another size brought back: the board's screens with a header, scaled and moved."""
-    screens = _screens(s, d)
-    heads = screens.select("frame").distinct().select("frame", F.explode(F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(t).alias("text"), F.lit(x - 0.04).alias("x"), F.lit((frames.TITLE_Y if t == "RANKINGS" else frames.COLUMN_Y) - 0.01).alias("y")) for i, (t, x) in enumerate(frames.HEADER_X.items())])).alias("h")).select("frame", "h.*", F.lit(0.08).alias("width"), F.lit(0.02).alias("height"))
-    moved = screens.unionByName(heads).select("frame", "seq", "text", (0.08 + 0.83 * F.col("x")).alias("x"), (0.13 + 0.70 * F.col("y")).alias("y"), (0.83 * F.col("width")).alias("width"), (0.70 * F.col("height")).alias("height"))
-    return frames.fit_screen(moved).where("seq >= 10").select("frame", "seq", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return frames.fit_screen(_moved(_screens(s, d))).where("seq >= 10").select("frame", "seq", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
 def screen_matchup(s: SparkSession, d: str) -> DataFrame:
@@ -183,12 +244,11 @@ def screen_matchup(s: SparkSession, d: str) -> DataFrame:
     return frames.screen_matchup(drawn, rows.select(F.col("event_id").alias("frame"), F.col("home_server").alias("home")))
 
 
-
 QUERIES = {
     f.__name__: f
     for f in (
         event_trend_delta, rank_movement, player_profiles, did_not_place, alias_identity, tier_sums, tier_difference, score_brackets, same_side_delta, top_alliances_per_server, qualifying_alliances, active_players,
-        search_page, first_seen_per_frame, terminal_stall, bottom_stop, latest_centre, nearest_slot_join, region_filter, frame_parse, frame_parse_v1, event_labels, affine_fit, screen_matchup,
+        search_page, first_seen_per_frame, terminal_stall, bottom_stop, latest_centre, nearest_slot_join, region_filter, frame_parse, frame_fits, banner_close, banner_frames, list_top, frame_parse_v1, early_parse, event_labels, affine_fit, screen_matchup,
     )
 }
 
@@ -200,7 +260,10 @@ _STANDINGS = f"""dom AS (
   SELECT event_id, alliance, server FROM (SELECT event_id, alliance, server, count(*) AS n, min(pos) AS p FROM board GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY event_id, alliance ORDER BY n DESC, p) = 1
 ), st AS (SELECT r.*, dom.server, row_number() OVER (PARTITION BY r.event_id, dom.server ORDER BY total_points DESC, first_pos) AS server_rank
   FROM (SELECT event_id, alliance, sum({_P})::BIGINT AS total_points, min(pos) AS first_pos FROM board GROUP BY ALL) r JOIN dom ON r.event_id = dom.event_id AND r.alliance IS NOT DISTINCT FROM dom.alliance)"""
-_SCREEN = f"{BOARD_SQL}, drawn AS (SELECT *, event_id || ':' || (rank - 1) // 7 AS frame FROM board WHERE commander <> '' AND alliance <> '' AND server IS NOT NULL AND points IS NOT NULL AND NOT starts_with(commander, '['))"
+_LINES = "list_filter([trim(nullif(commander, ''), ' '), trim(nullif(alliance, ''), ' '), 'S' || nullif(server, '')], lambda x: x IS NOT NULL)"
+_SCREEN = f"""{BOARD_SQL}, drawn AS (SELECT *, event_id || ':' || f AS frame, {_TOP} - k * {frames.PITCH} AS yy, {_LINES} AS lines FROM (SELECT *, (rank - 1) // {_PER} AS f, (rank - 1) % {_PER} AS k FROM board))"""
+# Every seventh frame has no digits: its rows with points follow the last rank of the frame before.
+_SHOWN = f"""{_SCREEN}, shown AS (SELECT *, CASE WHEN f % 7 = 3 THEN {_PER} * f + 1 + k - min(k) OVER (PARTITION BY frame) ELSE rank END::INTEGER AS n FROM drawn WHERE f % 7 <> 3 OR points IS NOT NULL)"""
 
 ORACLE = {
     "event_trend_delta": f"""WITH {BOARD_SQL}, {MANIFEST_SQL}, t AS (SELECT event_id, server, count(*) AS players, sum({_P})::BIGINT AS points FROM board WHERE server IS NOT NULL GROUP BY ALL)
@@ -235,14 +298,32 @@ ORACLE = {
       SELECT event_id, arg_min(slot, struct_pack(d := abs(y - slot * 25.0), s := -slot)) AS slot, round(min(abs(y - slot * 25.0)), 6) AS distance FROM p, s WHERE abs(y - slot * 25.0) <= 10 GROUP BY event_id""",
     "region_filter": """WITH b AS (SELECT user_id::VARCHAR AS frame, event_id AS seq, event_type AS text, (event_id % 100) / 100.0 AS cx, 1 - (floor(value) % 100) / 100.0 AS cy FROM events)
       SELECT frame, min(seq) AS seq, arg_min(text, seq) AS text FROM b WHERE regexp_matches(text, '^(click|purchase|view)', 'i') AND cx BETWEEN 0.2 AND 0.8 AND cy BETWEEN 0.1 AND 0.9 GROUP BY frame""",
-    "frame_parse": f"WITH {_SCREEN} SELECT frame, rank, trim(commander) AS commander, trim(alliance) AS alliance, server, points, true AS complete, false AS tainted FROM drawn",
-    "frame_parse_v1": f"""WITH {_SCREEN}, r AS (SELECT frame, rank, trim(commander) AS commander, trim(alliance) || ' S' || server AS alliance, points, 0.78 - ((rank - 1) % 7) * 0.0927::DOUBLE AS y FROM drawn),
+    "frame_parse": rf"""WITH {_SHOWN}, parts AS (SELECT *, coalesce(lines[1], '') AS one, lines[2:] AS rest, k = 0 AS edge FROM shown),
+      found AS (SELECT *, list_position(list_transform(rest, lambda x: regexp_full_match(x, 'S\d{{2,4}}')), true) AS hit FROM parts),
+      told AS (SELECT *, array_to_string(list_filter(rest, lambda x, i: hit IS NULL OR hit = 0 OR i <> hit), ' ') AS two, CASE WHEN hit > 0 THEN rest[hit][2:] END AS sv FROM found),
+      marked AS (SELECT *, starts_with(one, '[') AND two = '' AS tag_only FROM told)
+      SELECT frame, n AS rank, CASE WHEN tag_only AND NOT edge THEN '' ELSE one END AS commander, CASE WHEN tag_only AND NOT edge THEN one ELSE two END AS alliance, sv AS server, points,
+        (one <> '' OR tag_only AND NOT edge) AND points IS NOT NULL AND NOT edge AND NOT (tag_only AND edge) AS complete, f % 4 = 1 AND k = 1 AS tainted, tag_only AND NOT edge AS name_unreadable FROM marked""",
+    "frame_fits": f"""WITH {_SHOWN} SELECT frame, f % 4 = 1 AS banner_detected, min(n) AS offset, count(*)::INTEGER AS n_rows FROM shown GROUP BY ALL
+      UNION ALL SELECT DISTINCT event_id || ':end', false, NULL, 0 FROM board""",
+    "banner_close": f"WITH {_SCREEN} SELECT DISTINCT frame, 2 AS seq, 0.9::DOUBLE AS x, 0.8::DOUBLE AS y FROM drawn WHERE f % 4 = 1",
+    "banner_frames": f"WITH {_SCREEN} SELECT event_id, count(DISTINCT f) + 1 AS n_frames, count(DISTINCT f) FILTER (f % 4 = 1) AS n_banner_frames, 0 AS n_lists FROM drawn GROUP BY event_id",
+    "list_top": f"WITH {_SCREEN} SELECT frame FROM drawn GROUP BY frame HAVING min(rank) = 1",
+    "frame_parse_v1": f"""WITH {_SCREEN}, r AS (SELECT frame, rank, coalesce(lines[1], '') AS commander, array_to_string(lines[2:], ' ') AS alliance, points, yy::DOUBLE AS y FROM drawn),
       every AS (SELECT * FROM r UNION ALL SELECT frame, 2, '', '', NULL, (max(y) FILTER (rank = 1) + max(y) FILTER (rank = 3)) / 2 FROM r GROUP BY frame HAVING count(*) FILTER (rank = 1) > 0 AND count(*) FILTER (rank = 3) > 0 AND count(*) FILTER (rank = 2) = 0)
       SELECT frame, rank, commander, alliance, points, round(100 - 50 * abs(y - 0.45) + CASE WHEN points IS NOT NULL THEN 30 ELSE 0 END + CASE WHEN commander <> '' THEN 20 ELSE 0 END + CASE WHEN alliance <> '' THEN 10 ELSE 0 END, 6) AS score FROM every""",
+    "early_parse": rf"""WITH {_SCREEN}, parts AS (SELECT *, coalesce(lines[1], '') AS one, lines[2:] AS rest, k = 0 AS edge FROM drawn),
+      found AS (SELECT *, list_position(list_transform(rest, lambda x: regexp_full_match(x, 'S\d{{2,4}}')), true) AS hit FROM parts),
+      told AS (SELECT *, array_to_string(list_filter(rest, lambda x, i: hit IS NULL OR hit = 0 OR i <> hit), ' ') AS two, CASE WHEN hit > 0 THEN rest[hit][2:] END AS sv FROM found),
+      marked AS (SELECT *, starts_with(one, '[') AND two = '' AND NOT edge AS lost FROM told)
+      SELECT event_id, rank, CASE WHEN lost THEN '(name unreadable by OCR)' ELSE one END AS commander, CASE WHEN lost THEN one ELSE two END AS alliance, sv AS server, points, false AS used_tainted, lost AS name_unreadable,
+        CASE WHEN points IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS points_agreement, CASE WHEN one = '' THEN 0.0 ELSE 1.0 END::DOUBLE AS commander_agreement, CASE WHEN two = '' AND NOT lost THEN 0.0 ELSE 1.0 END::DOUBLE AS alliance_agreement FROM marked""",
     "event_labels": f"""WITH {MANIFEST_SQL}, s AS (SELECT *, unnest([home_server, opponent_server, '9999']) AS server FROM manifest)
       SELECT event_id, server, event_date || '-s' || home_server || '-vs-s' || opponent_server AS made_id, 'EVENT_' || replace(event_date || '-s' || home_server || '-vs-s' || opponent_server, '-', '_') AS script_name,
-        CASE WHEN server = home_server THEN upper(home_role[1]) || home_role[2:] WHEN server = opponent_server THEN CASE home_role WHEN 'attacking' THEN 'Defending' WHEN 'defending' THEN 'Attacking' END WHEN home_role IS NOT NULL THEN 'Cross-server' END AS role, opponent_server AS opponent FROM s""",
-    "affine_fit": f"""WITH {_SCREEN}, b AS (SELECT frame, rank * 10 + k AS seq, x, 0.78 - ((rank - 1) % 7) * 0.0927 + dy AS y FROM drawn, (VALUES (0, 0.1, 0.0), (1, 0.4, 0.02), (2, 0.4, 0.0), (3, 0.4, -0.02), (4, 0.8, 0.0)) v(k, x, dy))
+        CASE WHEN server = home_server THEN upper(home_role[1]) || home_role[2:] WHEN server = opponent_server THEN CASE home_role WHEN 'attacking' THEN 'Defending' WHEN 'defending' THEN 'Attacking' END WHEN home_role IS NOT NULL THEN 'Cross-server' END AS role,
+        CASE WHEN total_points % 3 = 0 THEN '9999' ELSE opponent_server END AS opponent FROM s""",
+    "affine_fit": f"""WITH {_SCREEN}, b AS (SELECT frame, rank * 10 + v.k AS seq, x, yy + dy AS y FROM drawn, (VALUES (0, 0.1, 0.0), (1, 0.4, 0.02), (2, 0.4, 0.0), (3, 0.4, -0.02), (4, 0.8, 0.0)) v(k, x, dy)
+        WHERE CASE v.k WHEN 1 THEN commander <> '' WHEN 2 THEN alliance <> '' WHEN 3 THEN server <> '' WHEN 4 THEN points IS NOT NULL ELSE true END)
       SELECT frame, seq, round(x::DOUBLE, 6) AS x, round(y::DOUBLE, 6) AS y FROM b""",
-    "screen_matchup": f"WITH {MANIFEST_SQL} SELECT event_id AS frame, home_role, opponent_server AS opponent, true AS battle_over, 'victory' AS home_result FROM manifest WHERE home_role IS NOT NULL AND home_server IN ('1001', '1002', '1003', '1004') AND opponent_server <> home_server",
+    "screen_matchup": f"WITH {MANIFEST_SQL} SELECT event_id AS frame, home_role, opponent_server AS opponent, true AS battle_over, 'victory' AS home_result FROM manifest WHERE home_role IS NOT NULL AND opponent_server <> home_server",
 }

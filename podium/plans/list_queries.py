@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.operators import legacy, quality, rollup, vote
+from podium.plans import sqltext as q
 from podium.plans.boards import BOARD_SQL, READINGS_SQL, board, readings
+from podium.session import table
 
 _P = "coalesce(points, 0)"
 
@@ -56,13 +58,13 @@ def vote_tiered(s: SparkSession, d: str) -> DataFrame:
     return kept.select("event_id", "rank", "seq", "n_obs", "n_clean", "used_tainted")
 
 
-def _ascii_core(column: str):
-    return F.lower(F.regexp_replace(column, r"[^\p{L}\p{N}]", ""))
+def _small_core(column: str):
+    return F.translate(F.lower(F.regexp_replace(column, r"[^\p{L}\p{N}]", "")), "ς", "σ")
 
 
 def vote_name_key(s: SparkSession, d: str) -> DataFrame:
     """The name vote with a core of small letters and digits, which SQL has too."""
-    return vote.vote_name(readings(s, d), ["event_id", "rank"], key=_ascii_core("commander"))
+    return vote.vote_name(readings(s, d), ["event_id", "rank"], key=_small_core("commander"))
 
 
 def vote_name(s: SparkSession, d: str) -> DataFrame:
@@ -85,7 +87,13 @@ def keep_best(s: SparkSession, d: str) -> DataFrame:
 
 
 def missing_ranks(s: SparkSession, d: str) -> DataFrame:
-    return quality.missing_ranks(board(s, d).where("points is not null and server is not null"))
+    """Ranks that no row of a scan has, for every scan."""
+    return quality.missing_ranks(table(s, d, "rankings"), group="scan_id")
+
+
+def unread_ranks(s: SparkSession, d: str) -> DataFrame:
+    """Ranks of a scan of which no row has points, up to the last that has."""
+    return quality.missing_ranks(table(s, d, "rankings").where("points is not null"), group="scan_id")
 
 
 def monotonic_violations(s: SparkSession, d: str) -> DataFrame:
@@ -93,20 +101,23 @@ def monotonic_violations(s: SparkSession, d: str) -> DataFrame:
     return quality.order_violations(readings(s, d), order="seq")
 
 
-def duplicate_entities(s: SparkSession, d: str) -> DataFrame:
-    found = quality.duplicate_players(board(s, d), key=_ascii_core("commander"))
+def _listed(found: DataFrame) -> DataFrame:
     return found.select("event_id", "name_key", "alliance", "n", F.concat_ws(",", F.transform("ranks", lambda r: r.cast("string"))).alias("ranks"))
 
 
+def duplicate_entities(s: SparkSession, d: str) -> DataFrame:
+    return _listed(quality.duplicate_players(board(s, d), key=_small_core("commander")))
+
+
 def duplicate_players(s: SparkSession, d: str) -> DataFrame:
-    return quality.duplicate_players(board(s, d))
+    return _listed(quality.duplicate_players(board(s, d)))
 
 
 def _doubts(s: SparkSession, d: str) -> DataFrame:
     r = vote.best_tier(readings(s, d), ["event_id", "rank"])
     counts = r.groupBy("event_id", "rank").agg(F.first("n_clean").alias("n_clean"))
     points = vote.vote(r, ["event_id", "rank"], "points").select("event_id", "rank", "points", F.col("agreement").alias("points_agreement"))
-    names = vote.vote_name(r, ["event_id", "rank"], key=_ascii_core("commander")).select("event_id", "rank", F.col("agreement").alias("commander_agreement"))
+    names = vote.vote_name(r, ["event_id", "rank"], key=_small_core("commander")).select("event_id", "rank", F.col("agreement").alias("commander_agreement"))
     return counts.join(points, ["event_id", "rank"]).join(names, ["event_id", "rank"], "left")
 
 
@@ -123,7 +134,7 @@ def single_clean_ranks(s: SparkSession, d: str) -> DataFrame:
 
 
 def validate_lists(s: SparkSession, d: str) -> DataFrame:
-    found = quality.validate(board(s, d).where("server is not null"))
+    found = quality.validate(board(s, d))
     return found.select("event_id", "error", "n", F.concat_ws(",", F.transform("sample", lambda r: r.cast("string"))).alias("sample"))
 
 
@@ -156,7 +167,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         alliance_standings, dominant_server, roster_members_topn, server_totals, event_totals, server_map, player_server_rank, share_of_alliance, vote_points, vote_server, vote_tiered,
-        vote_name_key, vote_name, similarity_vote, merged_records, keep_best, missing_ranks, monotonic_violations, duplicate_entities, duplicate_players, problem_union, unresolved_ranks,
+        vote_name_key, vote_name, similarity_vote, merged_records, keep_best, missing_ranks, unread_ranks, monotonic_violations, duplicate_entities, duplicate_players, problem_union, unresolved_ranks,
         single_clean_ranks, validate_lists, qa_report, legacy_server_summary, legacy_alliance_rollup, top_alliances, top_players, label_server,
     )
 }
@@ -173,7 +184,7 @@ _VOTE = """
   FROM (SELECT event_id, rank, CASE WHEN {valid} THEN {value} END AS v, count(*) FILTER ({valid}) AS n, min({near}) AS k FROM {rows} GROUP BY event_id, rank, {value})
   QUALIFY row_number() OVER (PARTITION BY event_id, rank ORDER BY n DESC, k NULLS LAST) = 1"""
 _NEAR = "struct_pack(d := abs(y - 0.45), s := seq)"
-_CORE = r"lower(regexp_replace(commander, '[^\p{L}\p{N}]', '', 'g'))"
+_CORE = r"translate(lower(regexp_replace(commander, '[^\p{L}\p{N}]', '', 'g')), 'ς', 'σ')"
 _NAMES = f"""
   SELECT event_id, rank, commander, round_even(n / whole, 3) AS agreement FROM (
     SELECT event_id, rank, core, sum(n) AS n, min(k) AS k, arg_min(commander, struct_pack(m := -n, s := s)) AS commander, sum(sum(n)) OVER (PARTITION BY event_id, rank) AS whole
@@ -189,6 +200,29 @@ _TIERED = """tiered AS (
 _DOUBTS = f"""{READINGS_SQL}, {_TIERED}, pv AS ({_VOTE.format(value="points", valid="points IS NOT NULL", near=_NEAR, rows="pool")}), nv AS ({_NAMES.replace("{rows}", "pool")}),
 doubts AS (SELECT c.event_id, c.rank, c.n_clean, pv.points, pv.agreement AS points_agreement, nv.agreement AS commander_agreement
   FROM (SELECT event_id, rank, any_value(n_clean) AS n_clean FROM pool GROUP BY ALL) c JOIN pv USING (event_id, rank) LEFT JOIN nv USING (event_id, rank))"""
+# Names by the full key, and by likeness where at most half agree: matching blocks as Ratcliff and Obershelp find them,
+# the longest first, then the earliest in the one text and in the other, left and right of it in turn.
+_KEYED = _NAMES.replace(_CORE, q.name_key("commander"))
+_BLOCK = """list_aggregate(flatten(list_transform(range(alo, ahi), lambda i: list_transform(range(blo, bhi), lambda j: struct_pack(
+      k := len(list_filter(range(1, least(ahi - i, bhi - j) + 1), lambda l: a[i:i + l - 1] = b[j:j + l - 1])), i := -i, j := -j)))), 'max')"""
+_SIMILAR = f"""keyed AS ({_KEYED}), unsure AS (SELECT event_id, rank FROM keyed WHERE agreement <= 0.5),
+    spellings AS (SELECT event_id, rank, commander AS name, {q.name_key('commander')} AS core, count(*) AS n, min({_NEAR}) AS k, min(seq) AS s FROM {{rows}} SEMI JOIN unsure USING (event_id, rank) WHERE commander <> '' GROUP BY ALL),
+    pairs AS (SELECT DISTINCT x.core AS a, y.core AS b FROM spellings x JOIN spellings y USING (event_id, rank) WHERE x.core <> y.core),
+    blocks AS (SELECT a, b, alo, ahi, blo, bhi, {_BLOCK} AS m FROM (SELECT *, 1 AS alo, length(a) + 1 AS ahi, 1 AS blo, length(b) + 1 AS bhi FROM pairs WHERE a <> '' AND b <> '')
+      UNION ALL SELECT a, b, alo, ahi, blo, bhi, {_BLOCK} AS m FROM (
+        SELECT a, b, unnest([alo, m.k - m.i]) AS alo, unnest([-m.i, ahi]) AS ahi, unnest([blo, m.k - m.j]) AS blo, unnest([-m.j, bhi]) AS bhi FROM blocks WHERE m.k > 0) WHERE alo < ahi AND blo < bhi),
+    alike AS (SELECT a, b FROM blocks GROUP BY a, b HAVING 2.0 * sum(m.k) / (length(a) + length(b)) >= 0.8),
+    partners AS (SELECT x.event_id, x.rank, x.name, x.s, y.name AS other, y.n, y.k FROM spellings x JOIN spellings y USING (event_id, rank) WHERE x.core = y.core OR EXISTS (SELECT 1 FROM alike l WHERE l.a = x.core AND l.b = y.core)),
+    groups AS (SELECT event_id, rank, name, s, sum(n) AS votes, arg_min(other, k) AS best FROM partners GROUP BY ALL),
+    whole AS (SELECT event_id, rank, sum(n) AS n FROM spellings GROUP BY ALL),
+    likened AS (SELECT event_id, rank, commander, agreement FROM keyed ANTI JOIN unsure USING (event_id, rank)
+      UNION ALL SELECT g.event_id, g.rank, best, round_even(votes / n, 3) FROM groups g JOIN whole USING (event_id, rank) QUALIFY row_number() OVER (PARTITION BY g.event_id, g.rank ORDER BY votes DESC, s) = 1)"""
+_MERGED = f"""{READINGS_SQL}, {_TIERED}, {_SIMILAR.replace("{rows}", "pool")},
+    pv AS ({_VOTE.format(value="points", valid="points IS NOT NULL", near=_NEAR, rows="pool")}), av AS ({_VOTE.format(value="alliance", valid="alliance <> ''", near=_NEAR, rows="pool")}), sv AS ({_VOTE.format(value="server", valid="true", near="seq", rows="pool")}),
+    facts AS (SELECT event_id, rank, any_value(n_obs) AS n_obs, any_value(n_clean) AS n_clean, any_value(used_tainted) AS used_tainted, bool_or(name_unreadable) AS name_unreadable FROM pool GROUP BY ALL),
+    merged AS (SELECT f.event_id, f.rank, CASE WHEN c.commander IS NULL AND name_unreadable THEN '(name unreadable by OCR)' ELSE coalesce(c.commander, '') END AS commander, coalesce(av.alliance, '') AS alliance, sv.server, pv.points, n_obs, n_clean, used_tainted, name_unreadable,
+      pv.agreement AS points_agreement, CASE WHEN c.commander IS NULL AND name_unreadable THEN 1.0 ELSE coalesce(c.agreement, 0.0) END::DOUBLE AS commander_agreement, av.agreement AS alliance_agreement
+      FROM facts f LEFT JOIN pv USING (event_id, rank) LEFT JOIN av USING (event_id, rank) LEFT JOIN sv USING (event_id, rank) LEFT JOIN likened c USING (event_id, rank))"""
 _GAPS = "SELECT event_id, unnest(range(prev + 1, rank)) AS rank FROM (SELECT event_id, rank, coalesce(lag(rank) OVER (PARTITION BY event_id ORDER BY rank), 0) AS prev FROM (SELECT DISTINCT event_id, rank FROM {rows}))"
 _BREAKS = "SELECT event_id, rank_before, points_before, rank, points FROM (SELECT event_id, rank, points, lag(rank) OVER w AS rank_before, lag(points) OVER w AS points_before FROM {rows} WINDOW w AS (PARTITION BY event_id ORDER BY rank)) WHERE points > points_before"
 _SAMPLE = "SELECT event_id, '{error}' AS error, count(*) AS n, string_agg(rank::VARCHAR, ',' ORDER BY rank) FILTER (k <= 15) AS sample FROM (SELECT event_id, rank, row_number() OVER (PARTITION BY event_id ORDER BY rank) AS k FROM ({rows})) GROUP BY event_id"
@@ -215,15 +249,26 @@ ORACLE = {
     "vote_server": f"WITH {READINGS_SQL} {_VOTE.format(value='server', valid='true', near='seq', rows='readings')}",
     "vote_tiered": f"WITH {READINGS_SQL}, {_TIERED} SELECT event_id, rank, seq, n_obs, n_clean, used_tainted FROM pool",
     "vote_name_key": f"WITH {READINGS_SQL} {_NAMES.replace('{rows}', 'readings')}",
+    "vote_name": f"WITH {READINGS_SQL} {_KEYED.replace('{rows}', 'readings')}",
+    "similarity_vote": f"WITH RECURSIVE {READINGS_SQL}, {_SIMILAR.replace('{rows}', 'readings')} SELECT * FROM likened",
+    "merged_records": f"WITH RECURSIVE {_MERGED} SELECT * FROM merged",
+    "qa_report": f"""WITH RECURSIVE {_MERGED}, stepped AS (SELECT *, lag(rank) OVER w AS r, lag(points) OVER w AS p FROM merged WINDOW w AS (PARTITION BY event_id ORDER BY rank)),
+      doubles AS (SELECT event_id, count(*) AS n FROM (SELECT event_id FROM merged WHERE NOT name_unreadable AND {q.name_key('commander')} <> '' GROUP BY event_id, {q.name_key('commander')}, alliance HAVING count(*) > 1) GROUP BY event_id),
+      told AS (SELECT event_id, count(*) AS n_records, max(rank) AS max_rank, count(*) FILTER (used_tainted) AS n_tainted, count(*) FILTER (n_clean = 1) AS n_single_clean, count(*) FILTER (name_unreadable) AS n_unreadable,
+        (max(rank) - count(*))::BIGINT AS n_missing, count(*) FILTER (points > p) AS n_violations, count(*) FILTER (n_clean = 0 OR points_agreement <= 0.5 OR commander_agreement < 0.5) AS n_unresolved FROM stepped GROUP BY event_id)
+      SELECT told.*, coalesce(n, 0) AS n_duplicates, n_missing = 0 AND n_violations = 0 AND n_unresolved = 0 AND coalesce(n, 0) = 0 AS passed FROM told LEFT JOIN doubles USING (event_id)""",
     "keep_best": f"""WITH {READINGS_SQL}, scored AS (
       SELECT *, round(100 - 50 * abs(y - 0.45) + CASE WHEN points IS NOT NULL THEN 30 ELSE 0 END + CASE WHEN commander <> '' THEN 20 ELSE 0 END + CASE WHEN alliance <> '' THEN 10 ELSE 0 END, 6) AS q FROM readings)
     SELECT event_id, rank, max(q) AS score, arg_max(points, struct_pack(q := q, s := -seq)) FILTER (points IS NOT NULL) AS points,
       arg_max(commander, struct_pack(q := q, s := -seq)) FILTER (commander <> '') AS commander, arg_max(alliance, struct_pack(q := q, s := -seq)) FILTER (alliance <> '') AS alliance
     FROM scored GROUP BY event_id, rank""",
-    "missing_ranks": f"WITH {BOARD_SQL} {_GAPS.format(rows='(SELECT * FROM board WHERE points IS NOT NULL AND server IS NOT NULL)')}",
+    "missing_ranks": _GAPS.replace("event_id", "scan_id").format(rows="rankings"),
+    "unread_ranks": _GAPS.replace("event_id", "scan_id").format(rows="rankings WHERE points IS NOT NULL"),
     "monotonic_violations": f"WITH {READINGS_SQL} {_BREAKS.replace('ORDER BY rank', 'ORDER BY seq').format(rows='readings')}",
     "duplicate_entities": f"""WITH {BOARD_SQL} SELECT event_id, {_CORE} AS name_key, alliance, count(*) AS n, string_agg(rank::VARCHAR, ',' ORDER BY rank) AS ranks
       FROM board WHERE commander <> '(name unreadable by OCR)' AND {_CORE} <> '' GROUP BY ALL HAVING count(*) > 1""",
+    "duplicate_players": f"""WITH {BOARD_SQL}, k AS (SELECT event_id, {q.name_key('commander')} AS name_key, alliance, rank FROM board WHERE commander <> '(name unreadable by OCR)')
+      SELECT event_id, name_key, alliance, count(*) AS n, string_agg(rank::VARCHAR, ',' ORDER BY rank) AS ranks FROM k WHERE name_key <> '' GROUP BY ALL HAVING count(*) > 1""",
     "problem_union": f"""WITH {_DOUBTS}, breaks AS ({_BREAKS.format(rows="doubts")})
       SELECT event_id, rank, 'gap' AS reason FROM ({_GAPS.format(rows="doubts")})
       UNION SELECT event_id, rank, 'no clean reading' FROM doubts WHERE n_clean = 0
@@ -231,7 +276,7 @@ ORACLE = {
       UNION SELECT event_id, rank, 'order' FROM breaks UNION SELECT event_id, rank_before, 'order' FROM breaks""",
     "unresolved_ranks": f"WITH {_DOUBTS} SELECT event_id, rank FROM doubts WHERE n_clean = 0 OR coalesce(points_agreement, 1) <= 0.5 OR coalesce(commander_agreement, 1) < 0.5",
     "single_clean_ranks": f"WITH {_DOUBTS} SELECT event_id, rank FROM doubts WHERE n_clean = 1",
-    "validate_lists": f"""WITH {BOARD_SQL}, b AS (SELECT * FROM board WHERE server IS NOT NULL)
+    "validate_lists": f"""WITH {BOARD_SQL}, b AS (SELECT * FROM board)
       {_SAMPLE.format(error="missing rank", rows=_GAPS.format(rows="b"))}
       UNION ALL {_SAMPLE.format(error="empty commander", rows="SELECT event_id, rank FROM b WHERE commander IS NULL OR commander = ''")}
       UNION ALL {_SAMPLE.format(error="missing points", rows="SELECT event_id, rank FROM b WHERE points IS NULL")}
