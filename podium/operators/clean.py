@@ -186,7 +186,8 @@ def near_looks(left: DataFrame, right: DataFrame, on: list[str], limit: int) ->
     ``on``; sides meet on the hash alone, so a large group of ``on`` is spread
     too and nothing is compared with all others.
     """
-    keyed = lambda df, look: df.select(*on, look).distinct().withColumn("_key", F.explode(F.transform(delete_keys(F.col(look), limit), lambda k: F.xxhash64(*on, k))))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows grow many times over here, so they are not put together for their size before
+    keyed = lambda df, look: df.select(*on, look).distinct().repartition(tasks, look).withColumn("_key", F.explode(F.transform(delete_keys(F.col(look), limit), lambda k: F.xxhash64(*on, k))))
     a, b = keyed(left, "_look"), keyed(right, "_known_look").select("_key", "_known_look", *[F.col(c).alias(f"_{c}") for c in on])
     same = F.lit(True)
     for c in on:

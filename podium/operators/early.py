@@ -108,6 +108,7 @@ def match_early(early: DataFrame, later: DataFrame, group: str = "event_id", hom
     free_a = place(left.where("key <> ''").join(right.select("g", "key").distinct(), ["g", "key"], "left_anti").join(exact.select("g", "o_a"), ["g", "o_a"], "left_anti"), "a").select("g", "place", F.col("label_a").alias("label"), "o_a", F.col("key").alias("_look"))
     free_b = place(right.join(exact.select("g", "o_b"), ["g", "o_b"], "left_anti"), "b").select("g", "place", F.col("label_b").alias("label"), "o_b", F.col("key").alias("_known_look"))
     on = ["g", "place", "label"]
+    free_b = free_b.join(free_a.select(*on).distinct(), on, "left_semi")
     offers = near_looks(free_a, free_b, on, NEAR).join(free_a, [*on, "_look"]).join(free_b, [*on, "_known_look"]).select("g", "o_a", "o_b")
 
     def settle(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

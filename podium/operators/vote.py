@@ -9,6 +9,7 @@ no window over its rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -72,12 +73,34 @@ def vote_name(readings: DataFrame, keys: list[str], name: str = "commander", key
     return out.select(*keys, F.col("b.v").alias(name), F.bround(-F.col("b.m") / F.col("all"), 3).alias("agreement"))
 
 
+def partners(cores: list[str]) -> dict[str, list[str]]:
+    """For each core those alike to it, itself included.
+
+    Likeness is asked for only where its bounds, by length and by letters in
+    common, allow it; the matcher keeps what it knows of its second text.
+    """
+    out: dict[str, list[str]] = {a: [] for a in cores}
+    letters = {a: Counter(a) for a in out}
+    for b in out:
+        matcher = SequenceMatcher(None, "", b)
+        for a in out:
+            least = ALIKE * (len(a) + len(b)) / 2
+            if a == b:
+                out[a].append(b)
+            elif min(len(a), len(b)) >= least and (letters[a] & letters[b]).total() >= least:
+                matcher.set_seq1(a)
+                if matcher.ratio() >= ALIKE:
+                    out[a].append(b)
+    return out
+
+
 def similar_name(names: list[str], cores: list[str], counts: list[int], nearest: list[tuple]) -> tuple[str, float]:
     """The spelling with the most alike readings, shown as nearest the centre among them, and their share.
 
     Spellings come in the order first seen; ``nearest`` is (distance, arrival) of each one's best reading.
     """
-    groups = [[j for j, b in enumerate(cores) if SequenceMatcher(None, a, b).ratio() >= ALIKE] for a in cores]
+    alike = partners(cores)
+    groups = [[j for j, b in enumerate(cores) if b in alike[a]] for a in cores]
     votes = [sum(counts[j] for j in g) for g in groups]
     won = votes.index(max(votes))
     best = min(groups[won], key=lambda j: nearest[j])
@@ -130,7 +153,7 @@ def merge_readings(readings: DataFrame, keys: list[str]) -> DataFrame:
     fields += [told("server", F.col("server"), F.lit(True), F.lit(0.0)), told("row", F.lit(None), F.lit(True), F.lit(0.0))]
     spread = readings.select(*keys, tier.alias("tier"), tainted.alias("t"), F.coalesce("name_unreadable", F.lit(False)).alias("u"), "seq", F.explode(F.filter(F.array(*fields), lambda x: x.isNotNull())).alias("x"))
     counted = spread.groupBy(*keys, "x.f", "x.v", "tier").agg(F.count("*").alias("n"), F.min("x.k").alias("k"), F.min("seq").alias("s"), F.max("t").alias("t"), F.max("u").alias("u"))
-    counted = durable(counted.withColumn("core", F.when(F.col("f") == "commander", name_key(F.col("v"))).otherwise(F.col("v")))).repartition(*keys)
+    counted = durable(counted.withColumn("core", F.when(F.col("f") == "commander", name_key(F.when(F.col("f") == "commander", F.col("v")))).otherwise(F.col("v")))).repartition(*keys)
     of_key, rows = Window.partitionBy(*keys), F.when(F.col("f") == "row", F.col("n"))
     pool = counted.withColumn("best", F.min("tier").over(of_key)).withColumn("n_obs", F.sum(rows).over(of_key)).withColumn("n_clean", F.coalesce(F.sum(F.when(F.col("tier") == 1, rows)).over(of_key), F.lit(0))).where("tier = best")
     voted = pool.groupBy(*keys, "n_obs", "n_clean", "best", "f", "core").agg(F.sum("n").alias("n"), F.min("k").alias("k"), F.min(F.struct((-F.col("n")).alias("m"), "s", "v")).alias("form"), F.max("t").alias("t"), F.max("u").alias("u"))
