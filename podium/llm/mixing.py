@@ -3,22 +3,27 @@
 Weights are tempered: w_i is proportional to p_i * (t_i / p_i) ** a for natural
 token shares p and targets t, so that a = 0 gives the natural mixture and a = 1
 the targets; with no targets w_i is proportional to p_i ** a.  The exponent is
-found by bisection, to meet a target entropy or the largest that keeps every
-source within its repetition limit at the wanted size.  The weights are then
-realised as budgeted block permutations: every pass over a source is a fresh
-permutation of hashed blocks and of the documents in them; whole blocks are
-taken until the block in which the budget ends, of which those documents are
-taken, in order, that still fit.
-
-Only one row per source reaches the driver.  Prefix sums run over blocks, whose
-number follows the size of the source, and within the one block a pass ends in;
-so a source with most of the documents is spread over all tasks.
+found by bisection: to meet a target entropy, or as the largest up to 1 that
+keeps every source within its repetition limit at a wanted size.  Without a
+wanted size the mixture is as large as the weights' limits allow, so targets
+are then met exactly.  The weights are realised as budgeted block permutations:
+every pass over a source is a fresh permutation of hashed blocks and of the
+documents in them; whole blocks are taken until the block in which the budget
+ends, of which those documents are taken, in order, that still fit.
+
+Sources without tokens (or without a target, where there are targets) are left
+out, the targets of the others are normalised again, and the report names them.
+
+Only one row per source reaches the driver.  Prefix sums run over at most
+RANGES ranges of blocks, then over the blocks of the one range in which a
+budget ends, then within one block; so a source with most of the documents is
+spread over all tasks.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -26,6 +31,8 @@ from pyspark.sql import functions as F
 
 #: Tokens that a block holds on average.
 BLOCK_TOKENS = 500_000
+#: Ranges into which the blocks of a pass are put for the first of the prefix sums, a power of two.
+RANGES = 256
 #: Most sources; one row of each is held by the driver.
 MAX_SOURCES = 100_000
 
@@ -68,26 +75,63 @@ def bisect(holds, low: float, high: float, steps: int = 60) -> float:
 
 
 def exponent_for_entropy(sources: list[Source], wanted: float) -> float:
-    """The exponent of untargeted weights whose entropy is ``wanted``: entropy falls as the exponent grows."""
-    return bisect(lambda a: entropy(tempered(sources, a)) >= wanted, 0.0, 64.0)
+    """The exponent at which the weights have the entropy ``wanted``.
+
+    Of untargeted weights the entropy falls as the exponent grows, from any to
+    0; with targets the exponent lies between the natural mixture (0) and the
+    targets (1), whichever way the entropy runs between them.
+    """
+    at = lambda a: entropy(tempered(sources, a))
+    if all(s.target is None for s in sources):
+        return bisect(lambda a: at(a) >= wanted, 0.0, 64.0)
+    return bisect(lambda a: at(a) <= wanted if at(1.0) >= at(0.0) else at(a) >= wanted, 0.0, 1.0)
+
+
+def exponent_for_limits(sources: list[Source], size: float, most: float = 1.0) -> float:
+    """The largest exponent up to ``most`` at which ``size`` tokens repeat no source beyond its limit."""
+    return bisect(lambda a: all(w * size <= s.tokens * s.max_repeats * (1 + 1e-12) for w, s in zip(tempered(sources, a), sources)), 0.0, most)
+
+
+def usable(sources: list[Source]) -> list[Source]:
+    """The sources that can contribute, their targets normalised to sum to 1."""
+    held = [s for s in sources if s.tokens > 0 and s.max_repeats > 0 and (s.target is None or s.target > 0)]
+    whole = sum(s.target or 0.0 for s in held)
+    return [replace(s, target=s.target / whole) if s.target is not None else s for s in held]
 
 
-def exponent_for_limits(sources: list[Source], size: float) -> float:
-    """The largest exponent up to 1 at which ``size`` tokens repeat no source beyond its limit."""
-    return bisect(lambda a: all(w * size <= s.tokens * s.max_repeats * (1 + 1e-12) for w, s in zip(tempered(sources, a), sources)), 0.0, 1.0)
+def largest_size(sources: list[Source], exponent: float = 1.0) -> float:
+    """The most tokens in which every source can have its weight within its repetition limit; 0 without sources."""
+    return min((s.tokens * s.max_repeats / w for s, w in zip(sources, tempered(sources, exponent)) if w > 0), default=0.0)
 
 
-def largest_size(sources: list[Source]) -> float:
-    """The most tokens in which every source can have its target within its repetition limit."""
-    return min((s.tokens * s.max_repeats / s.target for s in sources if s.target), default=0.0)
+@dataclass(frozen=True)
+class Plan:
+    """What a mixture is made of: the bisected exponent, its size, and the tokens of each source."""
+
+    exponent: float
+    size: float
+    budgets: dict[str, int]
+
 
+def plan(sources: list[Source], size: float | None = None, wanted_entropy: float | None = None) -> Plan:
+    """The mixture of ``size`` tokens, or of the most that its weights allow.
 
-def budgets(sources: list[Source], size: float | None = None) -> dict[str, int]:
-    """Tokens each source contributes; without ``size`` the most that keeps the targets exact."""
+    The exponent is that of ``wanted_entropy`` (by default 1, the targets or
+    the natural shares), lowered as far as ``size`` asks for.  If even the
+    natural mixture repeats a source too often at that size, its limit counts.
+    """
+    held = usable(sources)
+    exponent = 1.0 if wanted_entropy is None else exponent_for_entropy(held, wanted_entropy)
     if size is None:
-        size = largest_size(sources)
-    weights = tempered(sources, exponent_for_limits(sources, size))
-    return {s.name: min(int(w * size), s.tokens * s.max_repeats) for s, w in zip(sources, weights)}
+        size = largest_size(held, exponent)
+    exponent = exponent_for_limits(held, size, exponent)
+    weights = dict(zip((s.name for s in held), tempered(held, exponent)))
+    return Plan(exponent, size, {s.name: min(int(weights.get(s.name, 0.0) * size), s.tokens * s.max_repeats) for s in sources})
+
+
+def budgets(sources: list[Source], size: float | None = None, wanted_entropy: float | None = None) -> dict[str, int]:
+    """Tokens each source contributes; see ``plan``."""
+    return plan(sources, size, wanted_entropy).budgets
 
 
 def read_sources(sizes: DataFrame, source: str, targets: DataFrame | None = None, repeats: int = 1) -> list[Source]:
@@ -125,14 +169,23 @@ def realise(sizes: DataFrame, key: str, source: str, sources: list[Source], budg
     columns = ["source", "pass_no", "block_rank", "doc_rank_key", "doc_id", "n_tokens"]
     whole = uses.where("whole").select(*columns)
     part = uses.where("not whole")
-    by_block = part.groupBy("source", "pass_no", "block_no", "block_rank", "budget").agg(F.sum("n_tokens").alias("held"))
-    order = Window.partitionBy("source", "pass_no").orderBy("block_rank", "block_no")
-    ends = by_block.withColumn("upto", F.sum("held").over(order)).withColumn("before", F.col("upto") - F.col("held")).where("before < budget")
-    kept = part.join(ends.select("source", "pass_no", "block_no", "before", "upto"), ["source", "pass_no", "block_no"])
+    # Sums over ranges of blocks tell in which range a budget ends; only its blocks are summed one by one.
+    part = part.withColumn("range", F.shiftright("block_rank", 64 - (RANGES - 1).bit_length()))
+    of_pass = ["source", "pass_no"]
+    by_range = part.groupBy(*of_pass, "range", "budget").agg(F.sum("n_tokens").alias("held"))
+    upto = F.sum("held").over(Window.partitionBy(*of_pass).orderBy("range"))
+    ranges = by_range.withColumn("r_upto", upto).withColumn("r_before", F.col("r_upto") - F.col("held")).where("r_before < budget").select(*of_pass, "range", "r_before", "r_upto")
+    met = part.join(ranges, [*of_pass, "range"])
+    edge = met.where("r_upto > budget")
+    by_block = edge.groupBy(*of_pass, "block_no", "block_rank", "budget", "r_before").agg(F.sum("n_tokens").alias("held"))
+    order = Window.partitionBy(*of_pass).orderBy("block_rank", "block_no")
+    ends = by_block.withColumn("upto", F.col("r_before") + F.sum("held").over(order)).withColumn("before", F.col("upto") - F.col("held")).where("before < budget")
+    kept = edge.join(ends.select(*of_pass, "block_no", "before", "upto"), [*of_pass, "block_no"])
+    inner = met.where("r_upto <= budget").select(*columns)
     inside = kept.where("upto <= budget").select(*columns)
     ending = kept.where("upto > budget").select(*columns, (F.col("budget") - F.col("before")).alias("left"))
     last = ending.groupBy("source", "pass_no", "block_rank").applyInPandas(_fill, ending.select(*columns).schema)
-    return whole.unionByName(inside).unionByName(last)
+    return whole.unionByName(inner).unionByName(inside).unionByName(last)
 
 
 def _fill(block: pd.DataFrame) -> pd.DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podium.llm.mixing import Source, budgets, entropy, exponent_for_entropy, read_sources, realise, tempered
+from podium.llm.mixing import Plan, Source, entropy, exponent_for_entropy, plan, read_sources, realise, tempered
 from podium.llm.mojibake import restored
 from podium.llm.packing import pack
 from podium.llm.tokens import token_sizes
@@ -38,24 +38,45 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("fill_share", F.round(F.col("n_tokens") / (F.col("n_containers") * capacity[F.col("container_class")]), 6))
 
 
-def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Source]]:
+def _mixed(spark: SparkSession, sf_dir: str, size: float | None = None, wanted_entropy: float | None = None) -> tuple[DataFrame, list[Source], Plan]:
     sizes = _sizes(spark, sf_dir)
     sources = read_sources(sizes, "source", table(spark, sf_dir, "source_targets"))
-    return realise(sizes, "doc_id", "source", sources, budgets(sources)), sources
+    made = plan(sources, size if size != ALL else float(sum(s.tokens for s in sources)), wanted_entropy)
+    return realise(sizes, "doc_id", "source", sources, made.budgets), sources, made
 
 
-def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixture at the largest size that keeps every target within its repetition limit, a row per use of a document."""
-    return _mixed(spark, sf_dir)[0]
+#: A size: as many tokens as the targeted sources hold.
+ALL = -1.0
 
 
-def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target and reached share of each source, and how often a document of it is used at most."""
-    mixture, sources = _mixed(spark, sf_dir)
-    wanted = spark.createDataFrame([(s.name, s.target, s.max_repeats) for s in sources], "source string, target_share double, max_repeats int")
+def p7_mixture(spark: SparkSession, sf_dir: str, size: float | None = None, wanted_entropy: float | None = None) -> DataFrame:
+    """The mixture, a row per use of a document: of ``size`` tokens, by default the most that keep every target within its repetition limit."""
+    return _mixed(spark, sf_dir, size, wanted_entropy)[0]
+
+
+def _shares(spark: SparkSession, mixture: DataFrame, sources: list[Source], made: Plan) -> DataFrame:
+    wanted = spark.createDataFrame([(s.name, s.target, s.max_repeats, s.tokens, made.exponent, made.budgets[s.name]) for s in sources], "source string, target_share double, max_repeats int, source_tokens bigint, exponent double, budget bigint")
     reached = mixture.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_uses"), (F.max("pass_no") + 1).alias("most_uses"))
     every = Window.partitionBy()  # one row per source
-    return wanted.join(reached, "source", "left").select("source", "target_share", F.try_divide("n_tokens", F.sum("n_tokens").over(every)).alias("reached_share"), "max_repeats", "most_uses", "n_uses", "n_tokens")
+    return wanted.join(reached, "source", "left").select(
+        "source", "target_share", F.try_divide("n_tokens", F.sum("n_tokens").over(every)).alias("reached_share"), "max_repeats", "most_uses", "n_uses", "n_tokens", "budget", "source_tokens", "exponent",
+        (F.col("budget") == 0).alias("left_out"),
+    )
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source, how often a document of it is used at most, and whether it is left out."""
+    return _shares(spark, *_mixed(spark, sf_dir))
+
+
+def p7_tempered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture of as many tokens as the sources hold: repetition limits lower the exponent below 1, as close to the targets as they allow."""
+    return p7_mixture(spark, sf_dir, size=ALL)
+
+
+def p7_tempered_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of that mixture and its exponent."""
+    return _shares(spark, *_mixed(spark, sf_dir, size=ALL))
 
 
 def p7_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +100,7 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_mixture": p7_mixture, "p7_shares": p7_shares,
+    "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_tempered": p7_tempered, "p7_tempered_shares": p7_tempered_shares,
     "p7_temperature": p7_temperature, "p8_found": p8_found, "p8_restored": p8_restored,
 }
 #: These need a tokenizer or code tables; they are tested by round trips and against brute force.

@@ -87,6 +87,21 @@ def test_packing_is_exact_and_tight(spark):
         packing.pack(df, "doc_id", "n_tokens", {"s": 0})
 
 
+def test_containers_do_not_depend_on_partitions_and_leftovers_are_merged_in_rounds(spark):
+    rng = random.Random(12)
+    sizes = [(i, rng.randint(1, 60)) for i in range(4000)]
+    df = spark.createDataFrame(sizes, "doc_id bigint, n_tokens bigint")
+    run = lambda parts, **more: packing.pack(df.repartition(parts), "doc_id", "n_tokens", {"s": 100, "l": 500}, windows=8, partition_rows=100, **more).toPandas()
+    order = ["container_class", "container_id", "item_id", "piece_no"]
+    one, other = (run(n, merge_rows=150).sort_values(order).values.tolist() for n in (1, 7))
+    assert one == other
+    for merge_rows in (150, 100_000):  # several rounds, and one
+        got = run(3, merge_rows=merge_rows)
+        held = (got.token_to - got.token_from).groupby([got.container_class, got.container_id]).sum()
+        assert held["s"].max() <= 100 and held["l"].max() <= 500 and len(got) == 2 * len(sizes)
+        assert held["s"].mean() / 100 > 0.9 and held["l"].mean() / 500 > 0.9
+
+
 def test_packer_keeps_its_bound():
     packer = packing.Packer(10, 4)
     for size in [6, 6, 6, 6, 6, 6, 9, 9, 9, 9]:
@@ -110,6 +125,28 @@ def test_mixture_reaches_its_targets(spark):
     assert sorted(map(tuple, got[["doc_id", "pass_no"]].values)) == sorted(map(tuple, again[["doc_id", "pass_no"]].values))
 
 
+def test_tempered_mixture_is_realised_and_sources_without_tokens_are_left_out(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choices(["big", "small"], [95, 5])[0], rng.randint(1, 50)) for i in range(6000)]
+    sizes = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.3, 2), ("absent", 0.2, 3)], "source string, target_share double, max_repeats int")
+    sources = mixing.read_sources(sizes, "source", targets)
+    total = sum(s.tokens for s in sources)
+    made = mixing.plan(sources, size=total)
+    assert 0 < made.exponent < 1 and made.budgets["absent"] == 0
+    got = mixing.realise(sizes, "doc_id", "source", sources, made.budgets, block_tokens=2000).toPandas()
+    reached = got.groupby("source").n_tokens.sum()
+    small = next(s for s in sources if s.name == "small")
+    assert 0.99 * 2 * small.tokens <= reached["small"] <= 2 * small.tokens  # its limit is what binds
+    assert all(made.budgets[s] - 50 <= n <= made.budgets[s] for s, n in reached.items())
+    exact = mixing.plan(sources)
+    assert exact.exponent == 1.0 and abs(exact.budgets["big"] / sum(exact.budgets.values()) - 0.5 / 0.8) < 1e-3
+    goal = (mixing.entropy(mixing.tempered(mixing.usable(sources), 0.0)) + mixing.entropy(mixing.tempered(mixing.usable(sources), 1.0))) / 2
+    by_entropy = mixing.plan(sources, wanted_entropy=goal)
+    shares = [n / sum(by_entropy.budgets.values()) for n in by_entropy.budgets.values()]
+    assert 0 < by_entropy.exponent < 1 and abs(mixing.entropy(shares) - goal) < 1e-3
+
+
 def test_temperature():
     s = [mixing.Source("a", 900, None, 1), mixing.Source("b", 90, None, 1), mixing.Source("c", 10, None, 1), mixing.Source("d", 0, None, 1)]
     goal = 0.8
