@@ -38,15 +38,15 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("fill_share", F.round(F.col("n_tokens") / (F.col("n_containers") * capacity[F.col("container_class")]), 6))
 
 
-def _mixed(spark: SparkSession, sf_dir: str, size: float | None = None, wanted_entropy: float | None = None) -> tuple[DataFrame, list[Source], Plan]:
+def _mixed(spark: SparkSession, sf_dir: str, size: float | None = None, wanted_entropy: float | None = None, share: float | None = None) -> tuple[DataFrame, list[Source], Plan]:
     sizes = _sizes(spark, sf_dir)
     sources = read_sources(sizes, "source", table(spark, sf_dir, "source_targets"))
-    made = plan(sources, size if size != ALL else float(sum(s.tokens for s in sources)), wanted_entropy)
+    made = plan(sources, size if share is None else share * sum(s.tokens for s in sources), wanted_entropy)
     return realise(sizes, "doc_id", "source", sources, made.budgets), sources, made
 
 
-#: A size: as many tokens as the targeted sources hold.
-ALL = -1.0
+#: The size of the tempered mixture, as a share of the tokens its sources hold.
+TEMPERED_SHARE = 0.5
 
 
 def p7_mixture(spark: SparkSession, sf_dir: str, size: float | None = None, wanted_entropy: float | None = None) -> DataFrame:
@@ -70,13 +70,13 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_tempered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixture of as many tokens as the sources hold: repetition limits lower the exponent below 1, as close to the targets as they allow."""
-    return p7_mixture(spark, sf_dir, size=ALL)
+    """A mixture of half the tokens that the sources hold: repetition limits lower the exponent below 1, as close to the targets as they allow."""
+    return _mixed(spark, sf_dir, share=TEMPERED_SHARE)[0]
 
 
 def p7_tempered_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of that mixture and its exponent."""
-    return _shares(spark, *_mixed(spark, sf_dir, size=ALL))
+    return _shares(spark, *_mixed(spark, sf_dir, share=TEMPERED_SHARE))
 
 
 def p7_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
