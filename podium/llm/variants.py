@@ -1,23 +1,30 @@
 """Problem 5: which spellings of names typed by people belong together.
 
 Every spelling is brought to tokens (plain form, decorations, accents and
-digits used as letters undone).  A symmetric-delete index gives candidate
-pairs: two spellings of one block meet if they share a token up to one edit and
-the initial of another, or their run-together letters up to one edit in either
-order.  Candidates are judged by an optimal assignment of their tokens that
-permits typing errors, initials, cut-off words and nicknames.  Full forms are
-linked first; a spelling that only hints at a name (initials, cut-offs) joins a
-full form if that is the only one it fits, or the only one seen in the same
-company.  Groups are the connected components of the links.
+digits used as letters undone).  A symmetric-delete index over the distinct
+tokens of the corpus finds those that may be one word: as many deletes as the
+judge allows edits, one in short and two in long words.  Two spellings of one
+block are compared if two of their tokens are near in this sense (or the only
+one of each), or if one token is near and another begins alike and one of both
+may be a short form: an initial, a cut-off or a rare word.  A run-together
+spelling is looked up by all its splits.  Candidates are judged by an optimal
+assignment of their tokens that permits typing errors, initials, cut-off words
+and nicknames.  Full forms are linked first; a spelling that only hints at a
+name (initials, cut-offs) joins a full form if that is the only one it fits, or
+the only one seen in the same company.  Groups are the connected components of
+the links.
 
 A typing error is told from another word by counts over the whole corpus: two
-words that are both common are different words, however close.
-
-Plan: tokens are made once per distinct spelling; keys are hashed to 64 bits
-and salted buckets are not needed, because a key holds one block, one word and
-one letter; candidate pairs come from an equi-join on the key.  Links and
-labels stay in DataFrames; components are found by label propagation over
-checkpointed tables.
+words that are both common are different words, however close.  A word is rare
+if its share of the spellings of its kind is, by the lower end of its 95 %
+range, below RARE; so the rule is one of shares, softened where counts are too
+small to tell.
+
+Plan: the index holds each distinct token once, so its size follows the
+vocabulary; spellings carry only the few keys of their tokens, hashed to 64
+bits.  Candidate pairs come from equi-joins on the keys; a frequent word makes
+large keys only with another frequent word, or on the side of spellings that
+are no short form.  Links and labels stay in DataFrames.
 """
 
 from __future__ import annotations
@@ -25,7 +32,8 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import permutations
+from itertools import combinations, permutations
+from math import sqrt
 
 import pyarrow as pa
 import regex
@@ -57,6 +65,10 @@ NICKNAMES = {
     "vicky": "victoria", "wes": "wesley", "will": "william", "willy": "william", "zach": "zachary", "bella": "isabella",
     "izzy": "isabella", "dolly": "dorothea", "thea": "dorothea", "bert": "albert", "al": "albert", "gene": "eugene",
 }
+#: Share of the spellings of a kind below which a word is rare.
+RARE = 1e-4
+#: Letters of a long word that are indexed with two deletes, and from which length on a word is long.
+PREFIX, LONG = 7, 7
 #: What people add to a name for their channel, fixed values.
 CHANNELS = frozenset(["tv", "yt", "ttv", "live"])
 _DIGIT_AS_LETTER = str.maketrans("01345789@$", "oleastbgas")
@@ -123,8 +135,13 @@ def group_tokens(text: str) -> tuple[str, list[str]]:
     return tag, tokens if tokens or tag else [shown.casefold()]
 
 
-def token_likeness(a: str, b: str, count: dict[str, int]) -> tuple[float, bool]:
-    """(likeness or 0, whether it is only a hint) of two tokens."""
+def is_rare(n: float, total: int) -> bool:
+    """Whether a word in ``n`` of ``total`` spellings is rare: the lower end of the range of its share is at most RARE."""
+    return n - 1.64 * sqrt(n) <= RARE * total
+
+
+def token_likeness(a: str, b: str, count: dict[str, int], total: int = 0) -> tuple[float, bool]:
+    """(likeness or 0, whether it is only a hint) of two tokens; ``count`` is of ``total`` spellings."""
     if a == b:
         return 1.0, False
     if a > b:
@@ -135,20 +152,21 @@ def token_likeness(a: str, b: str, count: dict[str, int]) -> tuple[float, bool]:
     if a in NICKNAMES and b.startswith(NICKNAMES[a]) or b in NICKNAMES and a.startswith(NICKNAMES[b]):
         return 0.9, False
     few, many = sorted((count.get(a, 1), count.get(b, 1)))
+    rare = is_rare(few, total)
     if min(len(a), len(b)) >= 4:
         far = min(edits(a, b, 2), edits(sa, sb, 2))
-        if far == 1 and (few < 3 or many >= 8 * few):
+        if far == 1 and (rare or many >= 8 * few):
             return 1 - 1 / (max(len(a), len(b)) + 1), False
-        if far == 2 and min(len(a), len(b)) >= 7 and many >= 10 * few:
+        if far == 2 and min(len(a), len(b)) >= LONG and many >= 10 * few:
             return 1 - 2 / (max(len(a), len(b)) + 1), False
     short, long = (a, b) if len(a) < len(b) else (b, a)
     if len(short) == 1 and long.startswith(short):
         return 0.6, True
-    if len(short) >= 2 and long.startswith(short) and len(long) - len(short) >= 2 and (few < 3 or many >= 6 * few):
+    if len(short) >= 2 and long.startswith(short) and len(long) - len(short) >= 2 and (rare or many >= 6 * few):
         return 0.7, True
     if len(short) == 3 and len(long) <= 4 and edits(short, long, 1) <= 1:
         return 0.6, True
-    if len(short) >= 3 and few < 3 and len(long) - len(short) >= 2 and edits(short, long[: len(short)], 1) <= 1:
+    if len(short) >= 3 and rare and len(long) - len(short) >= 2 and edits(short, long[: len(short)], 1) <= 1:
         return 0.5, True
     return 0.0, False
 
@@ -159,37 +177,90 @@ def token_likeness_alone(a: str, b: str) -> tuple[float, bool]:
     return token_likeness(a, b, {})
 
 
-def name_likeness(a: list[str], b: list[str], count: dict[str, int]) -> tuple[float, bool]:
+#: Cost of a pair of tokens that can't be one, and what a hint costs more than any typing error.
+_NEVER, _HINT = 1e6, 10.0
+
+
+def assignment(cost: list[list[float]]) -> list[int]:
+    """The column of each row at the least total cost of a square matrix: shortest augmenting paths, O(n^3)."""
+    n = len(cost)
+    if n <= 3:
+        return list(min(permutations(range(n)), key=lambda order: sum(cost[i][j] for i, j in enumerate(order))))
+    row_of, u, v = [-1] * (n + 1), [0.0] * n, [0.0] * (n + 1)
+    for i in range(n):
+        row_of[n], column = i, n
+        least, before, used = [float("inf")] * (n + 1), [n] * (n + 1), [False] * (n + 1)
+        while row_of[column] != -1:
+            used[column] = True
+            at, step, nearest = row_of[column], float("inf"), n
+            for j in range(n):
+                if not used[j]:
+                    d = cost[at][j] - u[at] - v[j]
+                    if d < least[j]:
+                        least[j], before[j] = d, column
+                    if least[j] < step:
+                        step, nearest = least[j], j
+            for j in range(n + 1):
+                if used[j]:
+                    u[row_of[j]] += step
+                    v[j] -= step
+                else:
+                    least[j] -= step
+            column = nearest
+        while column != n:
+            row_of[column], column = row_of[before[column]], before[column]
+    out = [0] * n
+    for j in range(n):
+        out[row_of[j]] = j
+    return out
+
+
+def composed(whole: str, tokens: list[str], errors: int) -> bool:
+    """Whether ``whole`` is ``tokens`` run together in some order, with up to ``errors`` edits, each within a token."""
+    if len(tokens) <= 3:
+        return any(edits(whole, "".join(order), errors) <= errors for order in permutations(tokens))
+    known: set[tuple] = set()
+
+    def from_here(at: int, left: tuple[str, ...], errors: int) -> bool:
+        if not left:
+            return len(whole) - at <= errors
+        if (at, left, errors) in known:
+            return False
+        for t in dict.fromkeys(left):
+            rest = list(left)
+            rest.remove(t)
+            for size in range(max(0, len(t) - errors), len(t) + errors + 1):
+                spent = edits(whole[at : at + size], t, errors)
+                if at + size <= len(whole) and spent <= errors and from_here(at + size, tuple(rest), errors - spent):
+                    return True
+        known.add((at, left, errors))
+        return False
+
+    return from_here(0, tuple(sorted(tokens)), errors)
+
+
+def name_likeness(a: list[str], b: list[str], count: dict[str, int], total: int = 0) -> tuple[float, bool]:
     """(mean likeness under the best assignment or 0, whether it rests on hints) of two token lists.
 
-    Every token of both must be matched; a run-together spelling is compared
-    as a whole.  Up to five tokens are assigned by trying every order.
+    Every token of both must be matched, by as few hints as possible and not by
+    hints alone; a run-together spelling is compared as a whole.
     """
     if not a or not b:
         return 0.0, False
-    best = (0.0, False)
-    if len(a) == len(b) and len(a) <= 5:
-        for order in permutations(b):
-            pairs = []
-            for x, y in zip(a, order):
-                pairs.append(token_likeness(x, y, count) if count else token_likeness_alone(x, y))
-                if not pairs[-1][0]:
-                    break
-            else:
-                hint = any(h for _, h in pairs)
-                if hint and all(h for _, h in pairs):
-                    continue
-                best = max(best, (sum(s for s, _ in pairs) / len(pairs), hint), key=lambda x: (not x[1] and x[0] > 0, x[0]))
-    if best[0] == 0:
-        one, other = (a, b) if len(a) < len(b) else (b, a)
-        whole, apart = "".join(one), len(one) < len(other)
-        for order in permutations(other) if len(other) <= 4 else [tuple(other)]:
-            text = "".join(order)
-            if len(whole) >= 6 and whole == text:
-                return 0.99, False
-            if len(whole) >= 6 and apart and edits(whole, text, 1) <= 1:
-                best = max(best, (0.9, True))
-    return best
+    if len(a) == len(b):
+        pairs = [[token_likeness(x, y, count, total) if count else token_likeness_alone(x, y) for y in b] for x in a]
+        cost = [[1 - like + hint * _HINT if like else _NEVER for like, hint in row] for row in pairs]
+        chosen = [pairs[i][j] for i, j in enumerate(assignment(cost))]
+        if all(like for like, _ in chosen) and not all(hint for _, hint in chosen):
+            return sum(like for like, _ in chosen) / len(chosen), any(hint for _, hint in chosen)
+    one, other = (a, b) if len(a) < len(b) else (b, a)
+    whole = "".join(one)
+    if len(whole) >= 6:
+        if len(whole) == sum(map(len, other)) and composed(whole, other, 0):
+            return 0.99, False
+        if len(one) < len(other) and abs(len(whole) - sum(map(len, other))) <= 1 and composed(whole, other, 1):
+            return 0.9, True
+    return 0.0, False
 
 
 @lru_cache(maxsize=100_000)
@@ -211,26 +282,54 @@ def same_company(a: str | None, b: str | None) -> int:
     return 1 if shared and (shared >= 2 or shared == min(len(x), len(y))) else -1
 
 
-def keys(tokens: list[str]) -> set[str]:
-    """The index keys of a token list: see the module's description."""
+def token_keys(token: str) -> set[str]:
+    """The index keys of a token: tokens as near as ``token_likeness`` accepts without a hint share one.
+
+    One delete in all of a short word; up to two in the beginning of a long
+    one, because two beginnings of words two edits apart are as close.  Short
+    forms of first names meet the full forms they stand for.
+    """
+    look = seen(token)
+    out = {f"={look}"} if len(token) > 2 else set()
+    if len(token) >= 4:
+        out |= {f"1{d}" for d in deletes(look, 1)} if len(token) <= LONG else set()
+        if len(token) >= LONG - 1:
+            out |= {f"2{d}" for form in {look, token} for d in deletes(form[:PREFIX], 2)}
+    if token in NICKNAMES:
+        out.add(f"n{NICKNAMES[token]}")
+    return out | {f"n{token[:n]}" for n in _FULL_LENGTHS if token[:n] in _FULL}
+
+
+_FULL = frozenset(NICKNAMES.values())
+_FULL_LENGTHS = sorted({len(f) for f in _FULL})
+
+
+def full_keys(forms: list[list[str]]) -> set[str]:
+    """Keys of a spelling by its near tokens: every two of them, or the only one.  ``forms`` has of each token itself and its lesser neighbours."""
+    if len(forms) == 1:
+        return {f"s{t}" for t in forms[0]}
+    return {f"f{'|'.join(sorted((x, y)))}" for one, other in combinations(forms, 2) for x in one for y in other if len(x) > 1 and len(y) > 1}
+
+
+def hint_keys(tokens: list[str], forms: list[list[str]]) -> set[str]:
+    """Keys of a spelling by one near token and the beginning of another."""
     out = set()
-    words = [t for t in tokens if len(t) > 1]
-    if len(words) == len(tokens) and len(tokens) <= 4:
-        joined = {"".join(tokens), "".join(reversed(tokens))} | ({"".join(sorted(tokens))} if len(tokens) > 2 else set())
-        out |= {f"j{d}" for j in joined for d in deletes(seen(j), 1)}
-    for i, t in enumerate(tokens):
-        if len(t) < 3:
-            continue
-        full = NICKNAMES.get(t)
-        for j, o in enumerate(tokens):
-            if i != j:
-                marks = {o[0]} | ({NICKNAMES[o][0]} if o in NICKNAMES else set())
-                for form in {t} | ({full} if full else set()):
-                    for d in deletes(seen(form), 1) if len(form) >= 5 else {seen(form)}:
-                        out |= {f"t{d}|{m}" for m in marks}
+    for i, one in enumerate(forms):
+        if len(tokens[i]) >= 3:
+            for j, o in enumerate(tokens):
+                if i != j:
+                    marks = {o[0]} | ({NICKNAMES[o][0]} if o in NICKNAMES else set())
+                    out |= {f"t{t}|{m}" for t in one for m in marks}
     return out
 
 
+def split_keys(token: str) -> set[str]:
+    """The keys that a run-together spelling shares with its parts, one of which at least is whole if there is one edit."""
+    if len(token) < 6:
+        return set()
+    return {f"t{token[:k]}|{token[k]}" for k in range(3, len(token))} | {f"t{token[k:]}|{token[0]}" for k in range(1, len(token) - 2)}
+
+
 _TOKENS = "id bigint, block string, company string, code string, tag string, tokens array<string>"
 
 
@@ -254,24 +353,68 @@ def _tokenised(kind_column: str, person: str):
     return run
 
 
-def _keyed(person: str):
-    return lambda batches: (_keys_of(batch, person) for batch in batches)
+def _near_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs of tokens (kind, a, n_a, b, n_b, total) those that may be one word, as (kind, token, lesser)."""
+    for batch in batches:
+        kinds, a, n_a, b, n_b, total = (batch.column(i).to_pylist() for i in range(6))
+        kept = [n for n in range(batch.num_rows) for like, hint in [token_likeness(a[n], b[n], {a[n]: n_a[n], b[n]: n_b[n]}, total[n])] if like and not hint]
+        columns = [[kinds[n] for n in kept], [max(a[n], b[n]) for n in kept], [min(a[n], b[n]) for n in kept]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["kind", "token", "lesser"])
 
 
-def _keys_of(batch: pa.RecordBatch, person: str) -> pa.RecordBatch:
-    ids, hashes = [], []
-    for i, block, tag, tokens in zip(*(batch.column(n).to_pylist() for n in ("id", "block", "tag", "tokens"))):
-        own = {xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for k in keys(tokens)}
-        if tag:
-            own.add(xxhash.xxh64_intdigest(f"{block}|g{seen(tag.casefold())}") - 2**63)
-        elif len(tokens) > 1 and not block.startswith(f"{person}|"):  # one end may be a tag without its brackets
-            own |= {xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for part in (tokens[1:], tokens[:-1]) for k in keys(part)}
-        hashes += own
-        ids += [i] * len(own)
-    return pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64())], names=["key", "id"])
+def _token_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kinds, tokens, counts = (batch.column(i).to_pylist() for i in range(3))
+        out = [(xxhash.xxh64_intdigest(f"{kind}|{k}") - 2**63, kind, t, n, k[0] == "2") for kind, t, n in zip(kinds, tokens, counts) for k in token_keys(t)]
+        columns = list(zip(*out)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_()))], names=["key", "kind", "token", "n", "long"])
+
+
+def neighbours(vocabulary: DataFrame) -> DataFrame:
+    """``kind, token, lesser``: every two tokens of a kind that may be one word, of a ``vocabulary`` (kind, token, n, total)."""
+    keyed = durable(vocabulary.select("kind", "token", "n").mapInArrow(_token_keys, "key bigint, kind string, token string, n bigint, long boolean"))
+    # Keys of one token only meet nothing.
+    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    kept = keyed.join(shared, "key")
+    x, y = kept.alias("x"), kept.alias("y")
+    apart = F.abs(F.length("x.token") - F.length("y.token"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.token") < F.col("y.token")) & ((apart <= 2) | ~F.col("x.long"))).select("x.kind", F.col("x.token").alias("a"), F.col("x.n").alias("n_a"), F.col("y.token").alias("b"), F.col("y.n").alias("n_b")).distinct()
+    return durable(pairs.join(F.broadcast(vocabulary.groupBy("kind").agg(F.max("total").alias("total"))), "kind").select("kind", "a", "n_a", "b", "n_b", "total").mapInArrow(_near_tokens, "kind string, token string, lesser string"))
+
+
+def _keys_of(person: str):
+    """Index keys of spellings (id, block, tag, tokens, forms, short): (key, id, kind), kind 0 for near tokens, 1 for hints, 2 for hints of short forms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, ids, kinds = [], [], []
+            for i, block, tag, tokens, forms, short in zip(*(batch.column(n).to_pylist() for n in ("id", "block", "tag", "tokens", "forms", "short"))):
+                parts = [slice(0, None)]
+                if not tag and len(tokens) > 1 and not block.startswith(f"{person}|"):  # one end may be a tag without its brackets
+                    parts += [slice(1, None), slice(0, -1)]
+                full = {f"g{seen(tag.casefold())}"} if tag else set()
+                hints, splits = set(), set()
+                for part in parts:
+                    full |= full_keys(forms[part])
+                    hints |= hint_keys(tokens[part], forms[part])
+                    splits |= split_keys(tokens[part][0]) if len(tokens[part]) == 1 else set()
+                for keys, kind in ((full, 0), (hints, 1), (splits | (hints if short else set()), 2)):
+                    hashes += [xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for k in keys]
+                    ids += [i] * len(keys)
+                    kinds += [kind] * len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64()), pa.array(kinds, pa.int32())], names=["key", "id", "kind"])
+
+    return run
 
 
-def judge(tag_a: str, a: list[str], tag_b: str, b: list[str], count: dict[str, int]) -> tuple[float, bool]:
+def candidate_pairs(spellings: DataFrame, person: str) -> DataFrame:
+    """``id_a, id_b``, id_a < id_b, of the ``spellings`` (id, block, tag, tokens, forms, short) that are to be compared."""
+    keyed = durable(spellings.select("id", "block", "tag", "tokens", "forms", "short").mapInArrow(_keys_of(person), "key bigint, id bigint, kind int"))
+    full, hints, short = (keyed.where(F.col("kind") == k).select("key", "id") for k in range(3))
+    join = lambda x, y, ok: x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & ok).select(F.least("x.id", "y.id").alias("id_a"), F.greatest("x.id", "y.id").alias("id_b"))
+    return join(full, full, F.col("x.id") < F.col("y.id")).unionByName(join(short, hints, F.col("x.id") != F.col("y.id"))).distinct()
+
+
+def judge(tag_a: str, a: list[str], tag_b: str, b: list[str], count: dict[str, int], total: int = 0) -> tuple[float, bool]:
     """(likeness or 0, whether a hint) of two spellings; tags must agree where both are read."""
     if tag_a and tag_b:
         x, y = seen(tag_a.casefold()), seen(tag_b.casefold())
@@ -279,18 +422,18 @@ def judge(tag_a: str, a: list[str], tag_b: str, b: list[str], count: dict[str, i
             return 0.0, False
         if not a or not b:
             return (0.95, False) if tag_a.casefold() == tag_b.casefold() else (0.0, False)
-        best = name_likeness(a, b, count)
+        best = name_likeness(a, b, count, total)
         if best[0] == 0 and x == y and len(a) != len(b):  # a label cut off at its end
             n = min(len(a), len(b))
-            best = (0.5, True) if name_likeness(a[:n], b[:n], count)[0] > 0 else best
+            best = (0.5, True) if name_likeness(a[:n], b[:n], count, total)[0] > 0 else best
         return best
-    best = name_likeness(a, b, count)
+    best = name_likeness(a, b, count, total)
     if best[0] == 0 and (tag_a or tag_b):  # the other's tag may stand without brackets
         tag, with_tag, other = (tag_a, a, b) if tag_a else (tag_b, b, a)
         mark = seen(letters(tag))
         for end, rest in ((other[0], other[1:]), (other[-1], other[:-1])) if len(other) > 1 else ():
             if seen(end) == mark:
-                best = max(best, name_likeness(with_tag, rest, count))
+                best = max(best, name_likeness(with_tag, rest, count, total))
     return best
 
 
@@ -301,7 +444,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n in range(batch.num_rows):
             a, b = columns["tokens_a"][n], columns["tokens_b"][n]
             count = dict(zip(a, columns["counts_a"][n])) | dict(zip(b, columns["counts_b"][n]))
-            like, hint = judge(columns["tag_a"][n], a, columns["tag_b"][n], b, count)
+            like, hint = judge(columns["tag_a"][n], a, columns["tag_b"][n], b, count, columns["total_a"][n])
             if like > 0:
                 small_first = (len(a), sum(map(len, a)), columns["id_a"][n]) <= (len(b), sum(map(len, b)), columns["id_b"][n])
                 i, j = (columns["id_a"][n], columns["id_b"][n])[:: 1 if small_first else -1]
@@ -309,6 +452,20 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.int32()))], names=["a", "b", "likeness", "hint", "company"])
 
 
+def spellings(names: DataFrame, key: str, kind: str, block: str, text: dict[str, str], company: str, person: str = "commander") -> tuple[DataFrame, DataFrame]:
+    """(distinct spellings, named by their least id; id and rep of every row): see ``link_variants``."""
+    spelling = F.coalesce(*[F.when(F.col(kind) == k, F.col(c)) for k, c in text.items()])
+    rows = names.select(F.col(key).cast("bigint").alias("id"), F.col(kind).alias("kind"), F.concat_ws("|", kind, block).alias("block"), spelling.alias("text"), F.col(company).alias("company"), F.col(block).alias("_b")).where(
+        "id is not null and kind is not null and _b is not null and text <> ''"
+    )
+    tokens = durable(rows.select("id", "kind", "block", "text", "company").mapInArrow(_tokenised(kind, person), _TOKENS))
+    form = ["block", "code", "tag", "tokens"]
+    one = tokens.groupBy(*form).agg(F.min("id").alias("rep"), F.max("company").alias("company"))
+    one = durable(one.select(F.col("rep").alias("id"), "block", "company", "code", "tag", "tokens"))
+    copies = tokens.join(one.select(*form, F.col("id").alias("rep")), form).select("id", "rep")
+    return one, copies
+
+
 def link_variants(names: DataFrame, key: str, kind: str, block: str, text: dict[str, str], company: str, person: str = "commander") -> DataFrame:
     """``(id, group_id)``: the group of spellings each row of ``names`` belongs to, named by its least id.
 
@@ -319,23 +476,11 @@ def link_variants(names: DataFrame, key: str, kind: str, block: str, text: dict[
     Default names belong together only with the same code.  Rows with the same
     spelling are joined as copies, not as pairs.
     """
-    spelling = F.coalesce(*[F.when(F.col(kind) == k, F.col(c)) for k, c in text.items()])
-    rows = names.select(F.col(key).cast("bigint").alias("id"), F.col(kind).alias("kind"), F.concat_ws("|", kind, block).alias("block"), spelling.alias("text"), F.col(company).alias("company"), F.col(block).alias("_b")).where(
-        "id is not null and kind is not null and _b is not null and text <> ''"
-    )
-    tokens = durable(rows.select("id", "kind", "block", "text", "company").mapInArrow(_tokenised(kind, person), _TOKENS))
-    form = ["block", "code", "tag", "tokens"]
-    one = tokens.groupBy(*form).agg(F.min("id").alias("rep"), F.max("company").alias("company"))
-    one = durable(one.select(F.col("rep").alias("id"), "block", "company", "code", "tag", "tokens"))
-    copies = tokens.join(one.select(*form, F.col("id").alias("rep")), form).select("id", "rep")
+    one, copies = spellings(names, key, kind, block, text, company, person)
     fuzzy = one.where("code = ''")
-    # Counts of words over the whole corpus, by kind, put beside each spelling's tokens.
-    spread = fuzzy.select("id", F.split("block", "[|]")[0].alias("kind"), F.posexplode("tokens").alias("pos", "token"))
-    counts = spread.groupBy("kind", "token").agg(F.countDistinct("id").alias("n"))
-    counted = spread.join(counts, ["kind", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("_c"))
-    known = durable(fuzzy.join(counted, "id", "left").select("id", "company", "tag", "tokens", F.coalesce(F.col("_c.n"), F.expr("array()")).cast("array<bigint>").alias("counts")))
-    keyed = fuzzy.select("id", "block", "tag", "tokens").mapInArrow(_keyed(person), "key bigint, id bigint")
-    pairs = keyed.alias("x").join(keyed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")).distinct()
+    known = durable(described(fuzzy))
+    pairs = candidate_pairs(known, person)
+    known = known.select("id", "company", "tag", "tokens", "counts", "total")
     side = lambda s: known.select(*[F.col(c).alias(f"{c}_{s}") for c in known.columns])
     links = durable(pairs.join(side("a"), "id_a").join(side("b"), "id_b").mapInArrow(_judged, "a bigint, b bigint, likeness double, hint boolean, company int"))
     strong = components_of(links.where("not hint"))
@@ -352,6 +497,29 @@ def link_variants(names: DataFrame, key: str, kind: str, block: str, text: dict[
     return first.join(merged, "component", "left").select("id", F.coalesce("top", "component").alias("group_id"))
 
 
+def described(fuzzy: DataFrame) -> DataFrame:
+    """Spellings (id, block, company, tag, tokens) with ``counts`` of their tokens over the whole corpus of their kind, its
+    ``total``, ``forms``: each token with its lesser neighbours, and ``short``: whether one of them may be a short form.
+    """
+    spread = fuzzy.select("id", F.split("block", "[|]")[0].alias("kind"), F.posexplode("tokens").alias("pos", "token"))
+    total = fuzzy.groupBy(F.split("block", "[|]")[0].alias("kind")).agg(F.count("*").alias("total"))
+    vocabulary = durable(spread.groupBy("kind", "token").agg(F.countDistinct("id").alias("n")).join(F.broadcast(total), "kind"))
+    near = neighbours(vocabulary)
+    # What begins a longer word by two letters or more may be a cut-off, and so may a rare word; an initial always is one.
+    begins = vocabulary.where("length(token) > 3").select("kind", F.explode(F.transform(F.sequence(F.lit(2), F.length("token") - 2), lambda n: F.substring("token", F.lit(1), n))).alias("token")).distinct().withColumn("begins", F.lit(True))
+    rare = F.col("n") - 1.64 * F.sqrt("n") <= RARE * F.col("total")
+    lesser = near.groupBy("kind", "token").agg(F.sort_array(F.collect_set("lesser")).alias("lesser"))
+    words = vocabulary.join(begins, ["kind", "token"], "left").join(lesser, ["kind", "token"], "left")
+    nothing = F.array().cast("array<string>")
+    words = words.select("kind", "token", "n", "total", F.concat(F.array("token"), F.coalesce("lesser", nothing)).alias("forms"), (rare | F.coalesce("begins", F.lit(False)) | (F.length("token") <= 3)).alias("short"))
+    each = F.sort_array(F.collect_list(F.struct("pos", "n", "forms", "short", "total")))
+    told = spread.join(words, ["kind", "token"]).groupBy("id").agg(each.alias("_w"))
+    return fuzzy.join(told, "id", "left").select(
+        "id", "block", "company", "tag", "tokens", F.coalesce("_w.n", F.array().cast("array<bigint>")).alias("counts"), F.coalesce("_w.forms", F.array().cast("array<array<string>>")).alias("forms"),
+        F.coalesce(F.array_max("_w.total"), F.lit(0)).cast("bigint").alias("total"), F.exists(F.coalesce("_w.short", F.array().cast("array<boolean>")), lambda x: x).alias("short"),
+    )
+
+
 def components_of(edges: DataFrame) -> DataFrame:
     return connected_components(edges.select("a", "b"))
 
