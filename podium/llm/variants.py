@@ -285,16 +285,15 @@ def same_company(a: str | None, b: str | None) -> int:
 def token_keys(token: str) -> set[str]:
     """The index keys of a token: tokens as near as ``token_likeness`` accepts without a hint share one.
 
-    One delete in all of a short word; up to two in the beginning of a long
-    one, because two beginnings of words two edits apart are as close.  Short
-    forms of first names meet the full forms they stand for.
+    Keys that begin with 1 are the word as it looks without up to one letter;
+    those that begin with 2, of long words, its beginning without up to two,
+    because the beginnings of words two edits apart are as close.  Short forms
+    of first names meet the full forms they stand for.
     """
     look = seen(token)
-    out = {f"={look}"} if len(token) > 2 else set()
-    if len(token) >= 4:
-        out |= {f"1{d}" for d in deletes(look, 1)} if len(token) <= LONG else set()
-        if len(token) >= LONG - 1:
-            out |= {f"2{d}" for form in {look, token} for d in deletes(form[:PREFIX], 2)}
+    out = {f"1{d}" for d in deletes(look, 1)} if len(token) >= 4 else {f"1{look}"} if len(token) > 2 else set()
+    if len(token) >= LONG:
+        out |= {f"2{d}" for d in deletes(look[:PREFIX], 2)}
     if token in NICKNAMES:
         out.add(f"n{NICKNAMES[token]}")
     return out | {f"n{token[:n]}" for n in _FULL_LENGTHS if token[:n] in _FULL}
@@ -305,7 +304,7 @@ _FULL_LENGTHS = sorted({len(f) for f in _FULL})
 
 
 def full_keys(forms: list[list[str]]) -> set[str]:
-    """Keys of a spelling by its near tokens: every two of them, or the only one.  ``forms`` has of each token itself and its lesser neighbours."""
+    """Keys of a spelling by its near tokens: every two of them, or the only one.  ``forms`` has of each token itself and its more frequent neighbours."""
     if len(forms) == 1:
         return {f"s{t}" for t in forms[0]}
     return {f"f{'|'.join(sorted((x, y)))}" for one, other in combinations(forms, 2) for x in one for y in other if len(x) > 1 and len(y) > 1}
@@ -354,64 +353,74 @@ def _tokenised(kind_column: str, person: str):
 
 
 def _near_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs of tokens (kind, a, n_a, b, n_b, total) those that may be one word, as (kind, token, lesser)."""
+    """Of pairs of tokens (kind, a, n_a, b, n_b, total) those that may be one word, as (kind, token, common), the more frequent one last."""
     for batch in batches:
         kinds, a, n_a, b, n_b, total = (batch.column(i).to_pylist() for i in range(6))
         kept = [n for n in range(batch.num_rows) for like, hint in [token_likeness(a[n], b[n], {a[n]: n_a[n], b[n]: n_b[n]}, total[n])] if like and not hint]
-        columns = [[kinds[n] for n in kept], [max(a[n], b[n]) for n in kept], [min(a[n], b[n]) for n in kept]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["kind", "token", "lesser"])
+        ordered = [sorted(((n_a[n], a[n]), (n_b[n], b[n]))) for n in kept]
+        columns = [[kinds[n] for n in kept], [few for (_, few), _ in ordered], [many for _, (_, many) in ordered]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["kind", "token", "common"])
 
 
 def _token_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kinds, tokens, counts = (batch.column(i).to_pylist() for i in range(3))
-        out = [(xxhash.xxh64_intdigest(f"{kind}|{k}") - 2**63, kind, t, n, k[0] == "2") for kind, t, n in zip(kinds, tokens, counts) for k in token_keys(t)]
-        columns = list(zip(*out)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_()))], names=["key", "kind", "token", "n", "long"])
+        seeds = {k: xxhash.xxh32_intdigest(k) for k in set(kinds)}
+        out = [(xxhash.xxh64_intdigest(k, seeds[kind]) - 2**63, kind, t, seen(t), n, k[0]) for kind, t, n in zip(kinds, tokens, counts) for k in token_keys(t)]
+        columns = list(zip(*out)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()))], names=["key", "kind", "token", "look", "n", "family"])
+
+
+def met_in_keys(keyed: DataFrame, *conditions: str) -> DataFrame:
+    """``keyed`` joined to itself on ``key``, as x and y; keys that only one row has are dropped before, in the same exchange."""
+    kept = keyed.withColumn("_c", F.count("*").over(Window.partitionBy("key"))).where("_c > 1").drop("_c")
+    return kept.alias("x").join(kept.alias("y"), F.expr(" and ".join(["x.key = y.key", *conditions])))
 
 
 def neighbours(vocabulary: DataFrame) -> DataFrame:
-    """``kind, token, lesser``: every two tokens of a kind that may be one word, of a ``vocabulary`` (kind, token, n, total)."""
-    keyed = durable(vocabulary.select("kind", "token", "n").mapInArrow(_token_keys, "key bigint, kind string, token string, n bigint, long boolean"))
-    # Keys of one token only meet nothing.
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    kept = keyed.join(shared, "key")
-    x, y = kept.alias("x"), kept.alias("y")
-    apart = F.abs(F.length("x.token") - F.length("y.token"))
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.token") < F.col("y.token")) & ((apart <= 2) | ~F.col("x.long"))).select("x.kind", F.col("x.token").alias("a"), F.col("x.n").alias("n_a"), F.col("y.token").alias("b"), F.col("y.n").alias("n_b")).distinct()
-    return durable(pairs.join(F.broadcast(vocabulary.groupBy("kind").agg(F.max("total").alias("total"))), "kind").select("kind", "a", "n_a", "b", "n_b", "total").mapInArrow(_near_tokens, "kind string, token string, lesser string"))
+    """``kind, token, common``: every two tokens of a kind that may be one word, of a ``vocabulary`` (kind, token, n, total).
+
+    Two edits are accepted only where one word is ten times as frequent, so
+    keys of two deletes only join such words; what is farther apart than any
+    accepted pair, swaps counted as two, is left out before it is judged.
+    """
+    tasks = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a token has many keys, so tokens are not put together for their size before
+    keyed = durable(vocabulary.select("kind", "token", "n").repartition(tasks, "token").mapInArrow(_token_keys, "key bigint, kind string, token string, look string, n bigint, family string"))
+    uneven = "greatest(x.n, y.n) >= 10 * least(x.n, y.n)"
+    near = f"(x.family = 'n' or levenshtein(x.look, y.look) <= if({uneven}, 4, 2))"
+    pairs = met_in_keys(keyed, "x.token < y.token", f"(x.family <> '2' or {uneven})", near).select("x.kind", F.col("x.token").alias("a"), F.col("x.n").alias("n_a"), F.col("y.token").alias("b"), F.col("y.n").alias("n_b")).distinct()
+    return durable(pairs.join(F.broadcast(vocabulary.groupBy("kind").agg(F.max("total").alias("total"))), "kind").select("kind", "a", "n_a", "b", "n_b", "total").mapInArrow(_near_tokens, "kind string, token string, common string"))
 
 
 def _keys_of(person: str):
-    """Index keys of spellings (id, block, tag, tokens, forms, short): (key, id, kind), kind 0 for near tokens, 1 for hints, 2 for hints of short forms."""
+    """Index keys of spellings (id, block, tag, tokens, forms, short): (key, id, short); ``short`` is null for keys of near
+    tokens, else whether the spelling may hold a short form.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, ids, kinds = [], [], []
+            hashes, ids, shorts = [], [], []
             for i, block, tag, tokens, forms, short in zip(*(batch.column(n).to_pylist() for n in ("id", "block", "tag", "tokens", "forms", "short"))):
-                parts = [slice(0, None)]
-                if not tag and len(tokens) > 1 and not block.startswith(f"{person}|"):  # one end may be a tag without its brackets
-                    parts += [slice(1, None), slice(0, -1)]
-                full = {f"g{seen(tag.casefold())}"} if tag else set()
-                hints, splits = set(), set()
-                for part in parts:
-                    full |= full_keys(forms[part])
-                    hints |= hint_keys(tokens[part], forms[part])
-                    splits |= split_keys(tokens[part][0]) if len(tokens[part]) == 1 else set()
-                for keys, kind in ((full, 0), (hints, 1), (splits | (hints if short else set()), 2)):
-                    hashes += [xxhash.xxh64_intdigest(f"{block}|{k}") - 2**63 for k in keys]
+                full, hints, splits = full_keys(forms), hint_keys(tokens, forms), split_keys(tokens[0]) if len(tokens) == 1 else set()
+                if tag:
+                    full.add(f"g{seen(tag.casefold())}")
+                elif len(tokens) > 1 and not block.startswith(f"{person}|"):  # one end may be a tag without its brackets
+                    for part in (slice(1, None), slice(0, -1)):
+                        full |= full_keys(forms[part])
+                        splits |= split_keys(tokens[part][0]) if len(tokens) == 2 else set()
+                seed = xxhash.xxh64_intdigest(block)
+                for keys, mark in ((full, None), (hints - splits, short), (splits, True)):
+                    hashes += [xxhash.xxh64_intdigest(k, seed) - 2**63 for k in keys]
                     ids += [i] * len(keys)
-                    kinds += [kind] * len(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64()), pa.array(kinds, pa.int32())], names=["key", "id", "kind"])
+                    shorts += [mark] * len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64()), pa.array(shorts, pa.bool_())], names=["key", "id", "short"])
 
     return run
 
 
 def candidate_pairs(spellings: DataFrame, person: str) -> DataFrame:
     """``id_a, id_b``, id_a < id_b, of the ``spellings`` (id, block, tag, tokens, forms, short) that are to be compared."""
-    keyed = durable(spellings.select("id", "block", "tag", "tokens", "forms", "short").mapInArrow(_keys_of(person), "key bigint, id bigint, kind int"))
-    full, hints, short = (keyed.where(F.col("kind") == k).select("key", "id") for k in range(3))
-    join = lambda x, y, ok: x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & ok).select(F.least("x.id", "y.id").alias("id_a"), F.greatest("x.id", "y.id").alias("id_b"))
-    return join(full, full, F.col("x.id") < F.col("y.id")).unionByName(join(short, hints, F.col("x.id") != F.col("y.id"))).distinct()
+    keyed = durable(spellings.select("id", "block", "tag", "tokens", "forms", "short").mapInArrow(_keys_of(person), "key bigint, id bigint, short boolean"))
+    return met_in_keys(keyed, "x.id < y.id", "(x.short is null or x.short or y.short)").select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")).distinct()
 
 
 def judge(tag_a: str, a: list[str], tag_b: str, b: list[str], count: dict[str, int], total: int = 0) -> tuple[float, bool]:
@@ -499,7 +508,7 @@ def link_variants(names: DataFrame, key: str, kind: str, block: str, text: dict[
 
 def described(fuzzy: DataFrame) -> DataFrame:
     """Spellings (id, block, company, tag, tokens) with ``counts`` of their tokens over the whole corpus of their kind, its
-    ``total``, ``forms``: each token with its lesser neighbours, and ``short``: whether one of them may be a short form.
+    ``total``, ``forms``: each token with its more frequent neighbours, and ``short``: whether one of them may be a short form.
     """
     spread = fuzzy.select("id", F.split("block", "[|]")[0].alias("kind"), F.posexplode("tokens").alias("pos", "token"))
     total = fuzzy.groupBy(F.split("block", "[|]")[0].alias("kind")).agg(F.count("*").alias("total"))
@@ -508,10 +517,10 @@ def described(fuzzy: DataFrame) -> DataFrame:
     # What begins a longer word by two letters or more may be a cut-off, and so may a rare word; an initial always is one.
     begins = vocabulary.where("length(token) > 3").select("kind", F.explode(F.transform(F.sequence(F.lit(2), F.length("token") - 2), lambda n: F.substring("token", F.lit(1), n))).alias("token")).distinct().withColumn("begins", F.lit(True))
     rare = F.col("n") - 1.64 * F.sqrt("n") <= RARE * F.col("total")
-    lesser = near.groupBy("kind", "token").agg(F.sort_array(F.collect_set("lesser")).alias("lesser"))
-    words = vocabulary.join(begins, ["kind", "token"], "left").join(lesser, ["kind", "token"], "left")
+    common = near.groupBy("kind", "token").agg(F.sort_array(F.collect_set("common")).alias("common"))
+    words = vocabulary.join(begins, ["kind", "token"], "left").join(common, ["kind", "token"], "left")
     nothing = F.array().cast("array<string>")
-    words = words.select("kind", "token", "n", "total", F.concat(F.array("token"), F.coalesce("lesser", nothing)).alias("forms"), (rare | F.coalesce("begins", F.lit(False)) | (F.length("token") <= 3)).alias("short"))
+    words = words.select("kind", "token", "n", "total", F.concat(F.array("token"), F.coalesce("common", nothing)).alias("forms"), (rare | F.coalesce("begins", F.lit(False)) | (F.length("token") <= 3)).alias("short"))
     each = F.sort_array(F.collect_list(F.struct("pos", "n", "forms", "short", "total")))
     told = spread.join(words, ["kind", "token"]).groupBy("id").agg(each.alias("_w"))
     return fuzzy.join(told, "id", "left").select(
