@@ -54,7 +54,7 @@ WALK_RECORDS, WALKS, STEPS, REACH, NEGATIVE = 6_000, 3, 6, 2, 4
 #: Posted rows whose certain partners the models are fitted on, and the least amount that can make a partner certain.
 CALIBRATE_ROWS, CERTAIN_POINTS = 6_000, 10_000
 #: Hash tables of each view at the least bits of a table; see ``tables_for``.
-TABLES, TABLES_BITS = 56, 13
+TABLES, TABLES_BITS = 48, 13
 #: Most bits of a table, and the cosine whose chance to share a bucket does not fall with the bits.
 MOST_BITS, NEAR_COSINE = 16, 0.8
 #: Records of a context, on the larger side, that one cell takes.
@@ -519,13 +519,19 @@ def match_records(board: DataFrame, posted: DataFrame, accept: float = ACCEPT, c
     return chosen.select("board_id", "posted_id", F.round("confidence", 6).alias("confidence"), F.round("cosine", 6).alias("cosine"))
 
 
-_ROUTED = "context string, cell bigint, rows bigint, id bigint, commander string, alliance string, server string, points double"
+_ROUTED = "context string, cell bigint, rows bigint, scan string, rank int, id bigint, commander string, alliance string, server string, points double"
 
 
 def candidate_pairs(board: DataFrame, posted: DataFrame, sizes: DataFrame, shared, cell_rows: int) -> DataFrame:
     """Candidates of all contexts: every record goes to its cells, pairs come from the buckets of a cell."""
-    columns = ["context", "id", "commander", "alliance", "server", F.col("points").cast("double").alias("points")]
-    one = board.groupBy("context", "scan", "rank").agg(F.min(F.struct("id", *_ATTRIBUTES)).alias("r")).select("context", "r.*")
+    columns = ["context", "rows", "scan", "rank", "id", "commander", "alliance", "server", F.col("points").cast("double").alias("points")]
+    # Rows delivered again lie in one cell with the first, where it is kept alone; in contexts of several cells they are
+    # taken out before, as a copy whose attributes differ may come to cells of its own.
+    sized = board.join(sizes, "context")
+    divided = F.col("rows") > cell_rows
+    first = sized.where(divided).groupBy("context", "scan", "rank").agg(F.min(F.struct("id", *[c for c in sized.columns if c not in ("id", "context", "scan", "rank")])).alias("r")).select("context", "scan", "rank", "r.*")
+    one = sized.where(~divided).select(*columns).unionByName(first.select(*columns))
+    other = posted.join(sizes, "context").withColumn("scan", F.lit(None).cast("string")).withColumn("rank", F.lit(None).cast("int")).select(*columns)
 
     def routed(batches):
         for pdf in batches:
@@ -545,7 +551,8 @@ def candidate_pairs(board: DataFrame, posted: DataFrame, sizes: DataFrame, share
         if not len(left) or not len(right):
             return pd.DataFrame([], columns=_COLUMNS)
         tables = None if key[1] < 0 else np.array([key[1] >> 32])
+        left = left.sort_values("id").drop_duplicates(["scan", "rank"])
         return pd.DataFrame(candidates(shared.value, _ready(left), _ready(right), tables, rows=int(left["rows"].iloc[0])), columns=_COLUMNS)
 
-    sides = [df.select(*columns).join(sizes, "context").mapInPandas(routed, _ROUTED) for df in (one, posted)]
+    sides = [df.mapInPandas(routed, _ROUTED) for df in (one, other)]
     return sides[0].groupBy("context", "cell").cogroup(sides[1].groupBy("context", "cell")).applyInPandas(block, _PAIR)
