@@ -59,6 +59,8 @@ TABLES, TABLES_BITS = 48, 13
 MOST_BITS, NEAR_COSINE = 16, 0.8
 #: Records of a context, on the larger side, that one cell takes.
 CELL_ROWS = 50_000
+#: Contexts up to which their sizes are sent to every worker.
+MAX_CONTEXTS = 100_000
 #: Least posterior of a match, and how far below the best a candidate is still weighed.
 ACCEPT, MARGIN = 0.5, 7.0
 #: Share of letter triples below which two names can't be alike.
@@ -508,6 +510,8 @@ def match_records(board: DataFrame, posted: DataFrame, accept: float = ACCEPT, c
     counts = durable(each.groupBy("context").agg(F.sum("b").alias("n_board"), F.sum("p").alias("n_posted")))
     shared = spark.sparkContext.broadcast(fit_index(board, posted, counts))
     sizes = counts.where("n_board > 0 and n_posted > 0").select("context", F.greatest("n_board", "n_posted").alias("rows"))
+    if counts.count() <= MAX_CONTEXTS:  # else the sizes are joined as a table of their own
+        sizes = F.broadcast(sizes)
     pairs = candidate_pairs(board, posted, sizes, shared, cell_rows)
     per = Window.partitionBy("posted_id")
     # A pair that met in several cells has the same score in each.
