@@ -9,11 +9,11 @@ or correcting fact splits the intervals it overlaps: the rows it contradicts
 get a ``recorded_to`` and their replacements a ``recorded_from``; no row's
 values or valid interval are ever overwritten.
 
-Plan: exact repeats are merged before the shuffle (partial aggregation);
-readings that repeat what was already known of the same key and valid time are
-dropped in a window over (key, valid), which spreads a hot key over its valid
-times; what is left is hashed by key, sorted by recorded time and swept as a
-stream.  The sweep's state is one key's current timeline, at most one entry per
+Facts recorded at one time take effect together, so no belief is empty.
+
+Plan: facts are hashed by key and sorted by recorded time in one exchange, then
+swept as a stream; repeats and readings that say nothing new change nothing
+there.  The sweep's state is one key's current timeline, at most one entry per
 distinct valid time, so no group is ever collected.
 """
 
@@ -23,7 +23,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,27 +90,55 @@ class Timeline:
             yield s, end, state, since
 
 
-def _sweep(width: int, columns: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, line, out = None, None, []
+class Sweep:
+    """The ledger of one key from its facts in recorded order; facts of one recorded time count together."""
 
-        def finish() -> None:
-            if line is not None:
-                for s, e, state, since in line.current():
-                    out.append((key, *state, s, e, since, None))
+    def __init__(self, width: int) -> None:
+        self.line, self.at, self.last = Timeline(width), None, None
+        self.closed: dict[tuple, object] = {}  # (start, end, state) of rows closed now -> since when they were believed
 
+    def add(self, valid, recorded, reading: tuple) -> list[tuple]:
+        """Take in one fact, of several of one time the first; returns the rows superseded before ``recorded``."""
+        done = self.settle() if recorded != self.at else []
+        if (valid, recorded) != self.last:
+            self.at, self.last = recorded, (valid, recorded)
+            for s, e, state, since in self.line.add(valid, recorded, reading):
+                self.closed.setdefault((s, e, state), since)
+        return done
+
+    def settle(self) -> list[tuple]:
+        """The rows (start, end, state, since, until) superseded at the current time; one that is back again goes on."""
+        done = []
+        for (s, e, state), since in self.closed.items():
+            now = self.line.open.get(s)
+            if now and now[0] == e and now[1] == state:
+                now[2] = since
+            elif since != self.at:
+                done.append((s, e, state, since, self.at))
+        self.closed = {}
+        return done
+
+    def finish(self) -> list[tuple]:
+        return self.settle() + [(s, e, state, since, None) for s, e, state, since in self.line.current()]
+
+
+def _sweep(width: int, columns: list[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, sweep, out = None, None, []
+        take = lambda rows: out.extend((key, *state, s, e, since, until) for s, e, state, since, until in rows)
         for pdf in batches:
             for row in zip(*(pdf[c].array.astype(object) if i in (0, 1, 2) else pdf[c].tolist() for i, c in enumerate(pdf.columns))):
-                if line is None or row[0] != key:
-                    finish()
-                    key, line = row[0], Timeline(width)
+                if sweep is None or row[0] != key:
+                    if sweep is not None:
+                        take(sweep.finish())
+                    key, sweep = row[0], Sweep(width)
                 reading = tuple(x if isinstance(x, str) and x else None if not isinstance(x, (int, float)) or x != x else x for x in row[3:])
-                for s, e, state, since in line.add(row[1], row[2], reading):
-                    out.append((key, *state, s, e, since, row[2]))
+                take(sweep.add(row[1], row[2], reading))
             if len(out) >= 20_000:
                 yield pd.DataFrame(out, columns=columns)
-                out = []
-        finish()
+                out.clear()
+        if sweep is not None:
+            take(sweep.finish())
         if out:
             yield pd.DataFrame(out, columns=columns)
 
@@ -135,10 +163,6 @@ def bitemporal_ledger(facts: DataFrame, key: str, valid: str, recorded: str, att
     rows = facts.select(F.col(key).alias("_k"), F.col(valid).alias("_v"), F.col(recorded).alias("_r"), *read).where(
         F.col("_k").isNotNull() & F.col("_v").isNotNull() & F.col("_r").isNotNull()
     )
-    once = rows.groupBy("_k", "_v", "_r").agg(F.max(F.struct(*names)).alias("_s"))
-    seen = Window.partitionBy("_k", "_v").orderBy("_r")
-    told = once.withColumn("_p", F.lag("_s").over(seen)).where(F.col("_p").isNull() | ~F.col("_s").eqNullSafe(F.col("_p")))
-    facts_left = told.select("_k", "_v", "_r", *[F.col(f"_s.{n}").alias(n) for n in names])
     schema = T.StructType(
         [
             T.StructField(key, types[key]),
@@ -149,7 +173,8 @@ def bitemporal_ledger(facts: DataFrame, key: str, valid: str, recorded: str, att
             T.StructField("recorded_to", types[recorded]),
         ]
     )
-    return facts_left.repartition("_k").sortWithinPartitions("_k", "_r", "_v").mapInPandas(_sweep(len(attributes), [f.name for f in schema]), schema)
+    # Of facts of one valid and recorded time the greatest comes first.
+    return rows.repartition("_k").sortWithinPartitions("_k", "_r", "_v", *[F.desc(n) for n in names]).mapInPandas(_sweep(len(attributes), [f.name for f in schema]), schema)
 
 
 def as_recorded(ledger: DataFrame, at: Column | None = None) -> DataFrame:
