@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A capture is over beyond this rank, after so many frames without growth or alike.
 STOP_RANK, STALLED, IDENTICAL = 50, 4, 5
+#: The first version stopped after so many frames with the same greatest rank, fixed value.
+STALLED_V1 = 6
 #: Ranks up to this one are looked up last, in ascending order, fixed value.
 TOP_RANKS = 60
 
@@ -50,6 +53,19 @@ def bottom_stop(frames: DataFrame, capture: str = "capture_id") -> DataFrame:
     return ends.groupBy(capture).agg(F.min(F.when(F.col("_end"), F.col("frame_no"))).alias("stop_frame"))
 
 
+def bottom_stop_v1(frames: DataFrame, capture: str = "capture_id") -> DataFrame:
+    """``capture, stop_frame`` by the first version's rule: the frame at which the greatest rank so far, if it is beyond the
+    first ones, has not changed for STALLED_V1 frames; null if none.
+    """
+    per = Window.partitionBy(capture).orderBy("frame_no")
+    upto = per.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = frames.withColumn("_max", F.max("max_rank").over(upto))
+    still = F.coalesce(F.col("_max") == F.lag("_max").over(per), F.lit(False)) & (F.col("_max") > STOP_RANK)
+    rows = rows.withColumn("_still", still).withColumn("_g", F.sum((~F.col("_still")).cast("int")).over(upto))
+    stalled = F.sum(F.col("_still").cast("int")).over(Window.partitionBy(capture, "_g").orderBy("frame_no"))
+    return rows.withColumn("_n", stalled).groupBy(capture).agg(F.min(F.when(F.col("_n") >= STALLED_V1, F.col("frame_no"))).alias("stop_frame"))
+
+
 def latest_centre(readings: DataFrame, capture: str = "capture_id") -> DataFrame:
     """``capture, centre``: the middle of the ranks in the last frame with complete rows."""
     frames = readings.where("complete").groupBy(capture, "frame_no").agg(((F.min("rank") + F.max("rank")) / 2).alias("centre"))
@@ -72,3 +88,18 @@ def repair_order(targets: list[int], start: float | None) -> list[int]:
         far.remove(nearest)
         at = nearest
     return out + sorted(r for r in set(targets) if r <= TOP_RANKS)
+
+
+def repair_plan(targets: DataFrame, starts: DataFrame, capture: str = "capture_id") -> DataFrame:
+    """``capture, step, rank``: the ranks of each capture in the order of ``repair_order``; ``starts`` (capture, centre) as of
+    ``latest_centre``.  A capture's plan depends on each step before; different captures go to different tasks.
+    """
+    kind = dict(targets.dtypes)[capture]
+
+    def plan(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        start = pdf["centre"].iloc[0]
+        order = repair_order([int(r) for r in pdf["rank"]], None if pd.isna(start) else float(start))
+        return pd.DataFrame({capture: key[0], "step": range(1, len(order) + 1), "rank": order})
+
+    rows = targets.where("rank is not null").select(capture, "rank").distinct().join(starts.select(capture, "centre"), capture, "left")
+    return rows.groupBy(capture).applyInPandas(plan, f"{capture} {kind}, step int, rank int")

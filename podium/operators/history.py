@@ -86,3 +86,44 @@ def search(rows: DataFrame, text: str, columns: list[str]) -> DataFrame:
     for c in columns:
         hit = hit | F.coalesce(F.lower(c).contains(text.lower()), F.lit(False))
     return rows.where(hit)
+
+
+def roster_change(players: DataFrame, identity: list[str], order: str = "event_id") -> DataFrame:
+    """Each appearance with its place in the alliance (by points, earlier rank first on ties), that at the appearance before
+    in the same alliance, and the change upwards; null for the first.
+    """
+    place = F.row_number().over(Window.partitionBy(order, "alliance").orderBy(F.coalesce("points", F.lit(0)).desc(), "rank"))
+    rows = players.withColumn("place", place)
+    before = F.lag("place").over(Window.partitionBy(*identity, "alliance").orderBy(order))
+    return rows.withColumn("place_before", before).withColumn("places_up", F.col("place_before") - F.col("place"))
+
+
+def side_shares(players: DataFrame) -> DataFrame:
+    """``event_id, server, players, points, points_share, roster_share, avg_points, top_alliance``: shares in percent of the
+    event, two decimals; a null server is a group of its own.
+    """
+    per = ["event_id", "server"]
+    by_alliance = players.groupBy(*per, "alliance").agg(F.count("*").alias("n"), F.sum(F.coalesce("points", F.lit(0))).alias("s"), F.min("pos").alias("p"))
+    best = F.min(F.struct((-F.col("s")).alias("m"), "p", F.col("alliance").alias("v")))
+    sides = by_alliance.groupBy(*per).agg(F.sum("n").alias("players"), F.sum("s").alias("points"), best.alias("b"))
+    event = Window.partitionBy("event_id")
+    share = lambda c: F.when(F.sum(c).over(event) > 0, F.bround(F.col(c) / F.sum(c).over(event) * 100, 2)).otherwise(F.lit(0.0))
+    return sides.select(*per, "players", "points", share("points").alias("points_share"), share("players").alias("roster_share"), F.expr("points div players").alias("avg_points"), F.col("b.v").alias("top_alliance"))
+
+
+def group_profiles(players: DataFrame, identity: list[str]) -> DataFrame:
+    """Events, members, points, best event and last event of each group of players, e.g. an alliance."""
+    per_event = players.groupBy(*identity, "event_id").agg(F.count("*").alias("n"), F.sum(F.coalesce("points", F.lit(0))).alias("s"))
+    best = F.max(F.struct("s", "event_id"))
+    out = per_event.groupBy(*identity).agg(F.count("*").alias("events_played"), F.max("n").alias("most_members"), F.sum("s").alias("total_points"), best.alias("b"), F.max("event_id").alias("last_event"))
+    return out.select(*identity, "events_played", "most_members", "total_points", F.col("b.event_id").alias("best_event"), F.col("b.s").alias("best_points"), "last_event")
+
+
+def side_averages(events: DataFrame, fields: list[str], group: str = "home_server", role: str = "home_role") -> DataFrame:
+    """``group, role, n_events`` and the mean of each field over the events in which the group stood on that side."""
+    return events.where(F.col(role).isNotNull()).groupBy(group, role).agg(F.count("*").alias("n_events"), *[F.round(F.avg(f), 2).alias(f"avg_{f}") for f in fields])
+
+
+def trend_table(totals: DataFrame, servers: list[str], value: str = "points") -> DataFrame:
+    """One row of each event with a column for each of ``servers``."""
+    return totals.groupBy("event_id").pivot("server", servers).agg(F.sum(value))

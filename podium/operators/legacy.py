@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from podium.functions.text import NO_ALLIANCE, stripped, without_server
+
 
 def server_in_label(label: Column, servers: list[str], home: str) -> Column:
     """The first of ``servers`` whose mark occurs in the label, else ``home``."""
@@ -67,3 +69,26 @@ def parse_frames_v1(boxes: DataFrame) -> DataFrame:
 def rankings_csv(players: DataFrame) -> DataFrame:
     """The first version's columns of the list: no rank within the server."""
     return players.select(F.col("rank").alias("Rank"), F.col("commander").alias("Commander"), F.col("alliance").alias("Alliance"), F.concat(F.lit("S"), "server").alias("Server"), F.col("points").alias("Points"))
+
+
+_LABEL = r"(?Us)^\[(.*?)\]\s*(.*)$"
+
+
+def label_parts(label: Column) -> tuple[Column, Column, Column]:
+    """(tag, name, shown label) as the first version split labels: spaces within the tag stay, a server at the end of the
+    name goes; a null or empty label has no tag and the no-alliance name.
+    """
+    text = stripped(F.coalesce(label, F.lit("")))
+    tag = stripped(F.regexp_extract(text, _LABEL, 1))
+    name = F.when(text == "", F.lit(NO_ALLIANCE)).when(text.rlike(_LABEL), stripped(F.regexp_extract(text, _LABEL, 2))).otherwise(text)
+    name = without_server(name)
+    shown = F.when(tag != "", stripped(F.concat(F.lit("["), tag, F.lit("] "), name))).when(name != "", name).otherwise(F.lit(NO_ALLIANCE))
+    return tag, name, shown
+
+
+def alliances_csv(standings: DataFrame) -> DataFrame:
+    """The first version's columns of the standings: no rank within the server."""
+    return standings.select(
+        F.col("rank").alias("Rank"), F.col("alliance").alias("Alliance"), F.concat(F.lit("S"), "server").alias("Server"), F.col("members_count").alias("Members"), F.col("total_points").alias("Total Points"),
+        F.col("avg_points").alias("Avg Points/Player"), F.col("top_commander").alias("Top Commander"), F.col("top_points").alias("Top Commander Points"),
+    )

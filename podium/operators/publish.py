@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from podium.operators.rollup import alliance_standings, event_totals, server_totals
+
 
 def upsert(registry: DataFrame, updates: DataFrame, key: str, pos: str = "pos", front: bool = True) -> DataFrame:
     """``registry`` with ``updates``: a known key keeps its place and gets the new row, a new key comes first (or last).
@@ -15,8 +17,9 @@ def upsert(registry: DataFrame, updates: DataFrame, key: str, pos: str = "pos",
     latest = updates.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*[c for c in updates.columns if c != key]), pos).alias("_u"))
     fields = [c for c in registry.columns if c not in (key, pos)]
     old = registry.select(key, F.col(pos).alias("_pos"))
-    joined = latest.join(old, key, "left")
-    new_pos = F.coalesce("_pos", (F.lit(-1) * (F.lit(1) + F.col(f"_u.{pos}"))) if front else F.col(f"_u.{pos}") + F.lit(1 << 40))
+    first = F.broadcast(registry.agg(F.least(F.coalesce(F.min(pos), F.lit(0)), F.lit(0)).alias("_first")))  # one row
+    joined = latest.join(old, key, "left").crossJoin(first)
+    new_pos = F.coalesce("_pos", (F.col("_first") - F.lit(1) - F.col(f"_u.{pos}")) if front else F.col(f"_u.{pos}") + F.lit(1 << 40))
     fresh = joined.select(key, *[F.col(f"_u.{f}").alias(f) for f in fields], new_pos.cast("bigint").alias(pos))
     kept = registry.join(latest.select(key), key, "left_anti").select(key, *fields, F.col(pos).cast("bigint").alias(pos))
     nameless = updates.where(F.col(key).isNull()).select(key, *fields, F.col(pos).cast("bigint").alias(pos))
@@ -37,9 +40,10 @@ def is_latest(registry: DataFrame, date: str = "event_date") -> DataFrame:
 
 
 def scan_id(given, finished_at, started_at):
-    """The id of a scan: as given, else the digits of when it ended or began, with a T between date and time."""
+    """The id of a scan: as given, else the digits of when it ended or began, with a T between date and time, else of now in UTC with a Z."""
     stamp = F.coalesce(finished_at, started_at)
-    return F.coalesce(given, F.date_format(stamp, "yyyyMMdd'T'HHmmss"))
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyyMMdd'T'HHmmss'Z'")
+    return F.coalesce(F.nullif(given, F.lit("")), F.date_format(stamp, "yyyyMMdd'T'HHmmss"), now)
 
 
 def scan_index(rankings: DataFrame) -> DataFrame:
@@ -111,3 +115,23 @@ def resolve_matchup(given, detected, forced=None):
 def messages(keys, texts):
     """A translation table from its keys and one language's texts in the same order; lengths must agree."""
     return F.when(F.size(keys) != F.size(texts), F.raise_error(F.lit("as many texts as keys are needed")).cast("map<string,string>")).otherwise(F.map_from_arrays(keys, texts))
+
+
+def stamped(page, name, version):
+    """``page`` with the version of every script called ``name`` replaced: ``name?v=...``, put in where there is none."""
+    quoted = F.regexp_replace(name, r"([\\.^$|?*+()\[\]{}])", r"\\$1")
+    return F.regexp_replace(page, F.concat(F.lit("("), quoted, F.lit(r")(\?v=[0-9A-Za-z]*)?(?=[\"'])")), F.concat(F.lit("$1?v="), version))
+
+
+def event_documents(meta: DataFrame, players: DataFrame) -> DataFrame:
+    """``meta`` with totals, leaders and ``servers``: a map from server to its labelled name, players, points and share."""
+    totals = server_totals(players)
+    named = totals.join(meta.select("event_id", "home_server", "opponent_server", "home_role"), "event_id")
+    code = F.coalesce("server", F.lit("home"))
+    label = F.concat(F.lit("Server "), code, F.lit(" ("), F.coalesce(role_label(F.col("server"), F.col("home_server"), F.col("opponent_server"), F.col("home_role")), F.lit("Cross-server")), F.lit(")"))
+    entry = F.struct(code.alias("key"), F.struct(label.alias("name"), "players", "points", "point_share_pct").alias("value"))
+    maps = named.groupBy("event_id").agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("servers"))
+    first = players.groupBy("event_id").agg(F.min_by("commander", "pos").alias("top_commander"))
+    best = alliance_standings(players).where("rank = 1").select("event_id", F.col("alliance").alias("top_alliance"))
+    kept = [c for c in ("event_id", "title", "event_date", "home_server", "opponent_server", "home_role") if c in meta.columns]
+    return meta.select(*kept).join(event_totals(players), "event_id").join(maps, "event_id", "left").join(best, "event_id", "left").join(first, "event_id", "left")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.text import UNREADABLE, name_key
+from podium.operators.vote import merge_readings
+from podium.session import durable
 
 
 def missing_ranks(players: DataFrame, group: str = "event_id", rank: str = "rank") -> DataFrame:
@@ -97,3 +99,23 @@ def report(merged: DataFrame, group: str = "event_id", frames: DataFrame | None
     for counted, name in extra:
         out = out.join(counted, group, "left").withColumn(name, F.coalesce(name, F.lit(0)))
     return out.withColumn("passed", (F.col("n_missing") == 0) & (F.col("n_violations") == 0) & (F.col("n_unresolved") == 0) & (F.col("n_duplicates") == 0))
+
+
+def repaired(readings: DataFrame, rounds: list[DataFrame], keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(merged records, ranks that were read again) after rounds of repair.
+
+    Before each round the readings so far are merged; ranks in doubt (in the
+    first round also those with one clean reading) are targets, and the new
+    readings that show them join the vote.  Nothing read before is dropped.
+    ``keys`` are the group and the rank.
+    """
+    group, targets = keys[0], None
+    for n, again in enumerate(rounds):
+        merged = durable(merge_readings(readings, keys))
+        wanted = problem_ranks(merged, group).select(*keys)
+        if n == 0:
+            wanted = wanted.unionByName(single_clean_ranks(merged, group))
+        wanted = durable(wanted.distinct())
+        targets = wanted if targets is None else targets.unionByName(wanted)
+        readings = readings.unionByName(again.join(wanted, keys, "left_semi"))
+    return merge_readings(readings, keys), targets.distinct()

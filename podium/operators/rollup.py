@@ -56,6 +56,17 @@ def top_members(players: DataFrame, n: int) -> DataFrame:
     return members(players).where(F.col("member_rank") <= n)
 
 
+def with_members(standings: DataFrame, players: DataFrame) -> DataFrame:
+    """``standings`` with ``members``: the list of each alliance's players as they are placed in it.
+
+    A member list is one value of the published document of its event, so it
+    is gathered here; nothing else needs it.
+    """
+    rows = players.groupBy("event_id", "alliance").agg(F.sort_array(F.collect_list(F.struct((-_points()).alias("m"), "pos", "rank", "commander", _points().alias("points"), "server"))).alias("_m"))
+    shown = rows.select("event_id", F.col("alliance").alias("_a"), F.transform("_m", lambda x: F.struct(x["rank"].alias("rank"), x["commander"].alias("commander"), x["points"].alias("points"), x["server"].alias("server"))).alias("members"))
+    return standings.join(shown.withColumnRenamed("event_id", "_e"), (F.col("event_id") == F.col("_e")) & F.col("alliance").eqNullSafe(F.col("_a")), "left").drop("_e", "_a")
+
+
 def server_totals(players: DataFrame) -> DataFrame:
     """Players, points and point share (two decimals, 0 if nobody has points) of each server of an event."""
     totals = players.groupBy("event_id", "server").agg(F.count("*").alias("players"), F.sum(_points()).alias("points"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +26,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
+    local = sc.master.startswith("local[") or sc.master == "local"
     if not named:
-        if not sc.master.startswith("local[") and sc.master != "local":
+        if not local:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         named = tempfile.mkdtemp(prefix="podium-checkpoint-")
     sc.setCheckpointDir(named)
@@ -37,3 +39,8 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, for what a query writes and reads again."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,14 @@ PLAYER = T.StructType(
         T.StructField("alliance_name", T.StringType()), T.StructField("server", T.StringType()), T.StructField("points", T.LongType()), T.StructField("server_rank", T.IntegerType()),
     ]
 )
+MEMBER = T.StructType([T.StructField("rank", T.IntegerType()), T.StructField("commander", T.StringType()), T.StructField("points", T.LongType()), T.StructField("server", T.StringType())])
+STANDING = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("alliance", "tag", "name", "server")], T.StructField("members_count", T.LongType()), T.StructField("total_points", T.LongType()), T.StructField("avg_points", T.LongType()),
+        T.StructField("top_commander", T.StringType()), T.StructField("top_points", T.LongType()), T.StructField("top_rank", T.IntegerType()), T.StructField("rank", T.IntegerType()), T.StructField("server_rank", T.IntegerType()),
+        T.StructField("members", T.ArrayType(MEMBER)),
+    ]
+)
 META = T.StructType(
     [
         *[T.StructField(c, T.StringType()) for c in ("id", "title", "date", "home_server", "opponent_server", "home_role")],
@@ -29,6 +37,10 @@ SCAN = T.StructType(
 )
 
 
+#: The folder of a file, by its value where it is written as name=value.
+_FOLDER = r"(?:event_id=)?([^/]+)/[^/]+$"
+
+
 def boxes(spark: SparkSession, path: str) -> DataFrame:
     """Text boxes of screens, one JSON array a file: ``frame`` is the file's name, ``seq`` the place in the array."""
     files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.json)?$", 1).alias("frame"), F.from_json("value", T.ArrayType(BOX)).alias("b"))
@@ -37,17 +49,29 @@ def boxes(spark: SparkSession, path: str) -> DataFrame:
 
 def players(spark: SparkSession, path: str) -> DataFrame:
     """A list of players, one JSON array a file, with ``pos`` and the file's folder as ``event_id``."""
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("event_id"), F.from_json("value", T.ArrayType(PLAYER)).alias("p"))
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1).alias("event_id"), F.from_json("value", T.ArrayType(PLAYER)).alias("p"))
     return files.select("event_id", F.posexplode("p").alias("pos", "p")).select("event_id", F.col("pos").cast("bigint").alias("pos"), "p.*")
 
 
+def standings(spark: SparkSession, path: str) -> DataFrame:
+    """Published standings with their members, one JSON array a file, and the file's folder as ``event_id``."""
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1).alias("event_id"), F.from_json("value", T.ArrayType(STANDING)).alias("p"))
+    return files.select("event_id", F.explode("p").alias("p")).select("event_id", "p.*")
+
+
+def event_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Published documents of events, one JSON object a file."""
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", META).alias("m")).select("m.*")
+
+
 def bundle(spark: SparkSession, path: str, part: str) -> DataFrame:
-    """``rankings`` or ``meta`` of published script bundles: the line that begins with the part's name."""
-    lines = spark.read.text(path).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("event_id"), F.trim("value").alias("line"))
+    """``rankings``, ``alliances`` or ``meta`` of published script bundles: the line that begins with the part's name."""
+    lines = spark.read.text(path).select(F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1).alias("event_id"), F.trim("value").alias("line"))
     body = lines.select("event_id", F.regexp_extract("line", rf'^"?{part}"?\s*:\s*(.*?),?$', 1).alias("json")).where("json <> ''")
     if part == "meta":
         return body.select("event_id", F.from_json("json", META).alias("m")).select("event_id", "m.*")
-    rows = body.select("event_id", F.posexplode(F.from_json("json", T.ArrayType(PLAYER))).alias("pos", "p"))
+    kind = STANDING if part == "alliances" else PLAYER
+    rows = body.select("event_id", F.posexplode(F.from_json("json", T.ArrayType(kind))).alias("pos", "p"))
     return rows.select("event_id", F.col("pos").cast("bigint").alias("pos"), "p.*")
 
 

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from podium.operators.evidence import STALLED, STOP_RANK
+from podium.operators.evidence import IDENTICAL, STALLED, STOP_RANK
 
-PROGRESS = T.StructType([T.StructField("capture_id", T.StringType()), T.StructField("frame_no", T.LongType()), T.StructField("max_rank", T.LongType()), T.StructField("stalled", T.LongType()), T.StructField("at_end", T.BooleanType())])
-_STATE = T.StructType([T.StructField("max_rank", T.LongType()), T.StructField("stalled", T.LongType())])
+PROGRESS = T.StructType([T.StructField("capture_id", T.StringType()), T.StructField("frame_no", T.LongType()), T.StructField("max_rank", T.LongType()), T.StructField("stalled", T.LongType()), T.StructField("identical", T.LongType()), T.StructField("at_end", T.BooleanType())])
+#: Greatest rank and counters before the frame at hand, that frame and what it has shown so far.
+_STATE = T.StructType([*[T.StructField(c, T.LongType()) for c in ("max_rank", "stalled", "identical", "frame_no")], T.StructField("shown", T.StringType()), T.StructField("before", T.StringType())])
 
 
 def read_frames(spark: SparkSession, path: str, schema: T.StructType, per_batch: int = 1) -> DataFrame:
@@ -40,19 +41,36 @@ def winners(votes: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    best, stalled = state.get if state.exists else (0, 0)
-    frames = pd.concat(list(batches)).groupby("frame_no")["rank"].max().sort_index()
-    out = []
-    for frame, rank in frames.items():
-        stalled = 0 if rank > best else stalled + 1
-        best = max(best, int(rank))
-        out.append((key[0], int(frame), best, stalled, best > STOP_RANK and stalled >= STALLED))
-    state.update((best, stalled))
+    """Counters move when a frame is over, i.e. when a later one begins, so a frame whose rows come in two micro-batches
+    counts once; what it has shown so far is told each time.
+    """
+    best, stalled, identical, frame, shown, before = state.get if state.exists else (0, 0, 0, None, "", None)
+    rows, out = pd.concat(list(batches)), []
+
+    def told(best: int, stalled: int, identical: int, shown: str, before: str | None) -> tuple[int, int, int]:
+        ranks = [int(r) for r in shown.split(",") if r]
+        top = max([best, *ranks])
+        return top, 0 if top > best else stalled + 1, identical + 1 if ranks and shown == before else 0
+
+    for number, part in rows.groupby("frame_no"):
+        ranks = {int(r) for r in part["rank"]}
+        if frame is not None and number < frame:
+            best = max([best, *ranks])  # rows of a frame that is over count, but do not begin it again
+            continue
+        if number != frame:
+            if frame is not None:
+                best, stalled, identical = told(best, stalled, identical, shown, before)
+                before = shown
+            frame, shown = int(number), ""
+        shown = ",".join(map(str, sorted(ranks | {int(r) for r in shown.split(",") if r})))
+        now = told(best, stalled, identical, shown, before)
+        out.append((key[0], frame, *now, now[0] > STOP_RANK and (now[1] >= STALLED or now[2] >= IDENTICAL)))
+    state.update((best, stalled, identical, frame, shown, before))
     yield pd.DataFrame(out, columns=[f.name for f in PROGRESS])
 
 
 def running_progress(readings: DataFrame) -> DataFrame:
-    """Progress of each capture after each frame; readings need ``capture_id, frame_no, rank``.  One micro-batch's frames of a capture are handled together."""
+    """Progress of each capture after each frame; readings need ``capture_id, frame_no, rank``.  A frame that is still coming in is told again."""
     return readings.select("capture_id", "frame_no", "rank").groupBy("capture_id").applyInPandasWithState(_advance, PROGRESS, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
