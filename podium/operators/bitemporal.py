@@ -14,7 +14,9 @@ Facts recorded at one time take effect together, so no belief is empty.
 Plan: facts are hashed by key and sorted by recorded time in one exchange, then
 swept as a stream; repeats and readings that say nothing new change nothing
 there.  The sweep's state is one key's current timeline, at most one entry per
-distinct valid time, so no group is ever collected.
+distinct valid time, so no group is ever collected.  Keys of more than
+LONG_ROWS facts are cut into ranges of valid time and swept in parallel, with
+the same result (see ``bitemporal_ranges``).
 """
 
 from __future__ import annotations
@@ -27,6 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium.operators.bitemporal_ranges import ledger_by_ranges
+from podium.session import durable
+
+
+#: Facts of a key from which on it is cut into ranges of about so many.
+LONG_ROWS = 1_000_000
+
 
 class Timeline:
     """The versions of one key as known so far, and the ledger rows closed."""
@@ -145,7 +154,7 @@ def _sweep(width: int, columns: list[str]):
     return run
 
 
-def bitemporal_ledger(facts: DataFrame, key: str, valid: str, recorded: str, attributes: Sequence[str]) -> DataFrame:
+def bitemporal_ledger(facts: DataFrame, key: str, valid: str, recorded: str, attributes: Sequence[str], long_rows: int = LONG_ROWS) -> DataFrame:
     """The full ledger of ``facts``.
 
     Returns ``key, *attributes, valid_from, valid_to, recorded_from,
@@ -174,7 +183,15 @@ def bitemporal_ledger(facts: DataFrame, key: str, valid: str, recorded: str, att
         ]
     )
     # Of facts of one valid and recorded time the greatest comes first.
-    return rows.repartition("_k").sortWithinPartitions("_k", "_r", "_v", *[F.desc(n) for n in names]).mapInPandas(_sweep(len(attributes), [f.name for f in schema]), schema)
+    swept = lambda facts: facts.repartition("_k").sortWithinPartitions("_k", "_r", "_v", *[F.desc(n) for n in names]).mapInPandas(_sweep(len(attributes), schema.fieldNames()), schema)
+    counted = durable(rows.groupBy("_k").agg(F.count("*").alias("n")).where(F.col("n") > long_rows))
+    long = counted.agg(F.count("*").alias("keys"), F.sum("n").alias("n")).first()
+    if not long["keys"]:
+        return swept(rows)
+    # There are no more long keys than LONG_ROWS go into the facts; beyond what is safe to broadcast they are joined.
+    keys = F.broadcast(counted.select("_k")) if long["keys"] <= 100_000 else counted.select("_k")
+    pieces = ledger_by_ranges(rows.join(keys, "_k", "left_semi"), names, lambda: Timeline(len(names)), lambda: Sweep(len(names)), max(2, -(-long["n"] // long_rows)))
+    return swept(rows.join(keys, "_k", "left_anti")).unionByName(pieces.toDF(*schema.fieldNames()))
 
 
 def as_recorded(ledger: DataFrame, at: Column | None = None) -> DataFrame:

@@ -64,3 +64,27 @@ def test_hot_key_of_most_rows(spark):
     rows = spark.range(20000).selectExpr("1L as account_id", "format_string('s%05d', id % 500) as scan_id", "format_string('n%d', (id % 500) div 100) as commander", "'x' as alliance", "'7' as server", "timestamp_seconds(id) as ingested_at")
     now = as_recorded(bitemporal_ledger(rows, "account_id", "scan_id", "ingested_at", NAMES)).orderBy("valid_from").collect()
     assert [(r.commander, r.valid_from, r.valid_to) for r in now] == [("n0", "s00000", "s00100"), ("n1", "s00100", "s00200"), ("n2", "s00200", "s00300"), ("n3", "s00300", "s00400"), ("n4", "s00400", None)]
+
+
+def test_keys_cut_into_ranges_give_the_same_ledger(spark):
+    rng = random.Random(11)
+    for seed in range(3):
+        rows = []
+        for key in range(6):
+            for n in range(60):
+                late = rng.choice([0, 0, 0, 5, 40])
+                value = lambda: rng.choice([None, "", "a", "b", "c"])
+                rows.append((key, "s%03d" % rng.randint(0, 40) if seed else "s%03d" % n, value(), rng.choice([None, "x", "y"]), None if key == 5 else "7", T0 + timedelta(hours=n + late)))
+        df = spark.createDataFrame(rows, SCHEMA)
+        whole, cut = (sorted(map(tuple, bitemporal_ledger(df, "account_id", "scan_id", "ingested_at", NAMES, long_rows=n).collect()), key=repr) for n in (10**6, 20))
+        assert cut == whole
+
+
+def test_a_key_with_a_third_of_all_rows_is_spread_over_tasks(spark):
+    rows = spark.range(30000).selectExpr("if(id % 3 = 0, 1L, id) as account_id", "format_string('s%05d', id div 3) as scan_id", "format_string('n%d', id div 5000) as commander", "'x' as alliance", "'7' as server", "timestamp_seconds(id) as ingested_at")
+    ledger = bitemporal_ledger(rows, "account_id", "scan_id", "ingested_at", NAMES, long_rows=2000)
+    now = as_recorded(ledger).where("account_id = 1").orderBy("valid_from").collect()
+    assert [r.commander for r in now] == [f"n{i}" for i in range(6)] and now[0].valid_from == "s00000" and now[-1].valid_to is None
+    assert all(a.valid_to == b.valid_from for a, b in zip(now, now[1:]))
+    dealt = rows.where("account_id = 1").repartitionByRange(5, "account_id", "scan_id")
+    assert dealt.rdd.getNumPartitions() == 5 and max(dealt.rdd.glom().map(len).collect()) < 4000
