@@ -295,10 +295,13 @@ def map_values(values: DataFrame, column: str, reference: list[tuple[int, str, s
     Nulls and empty values mean nothing and are left out.  Of two entries that
     fit equally well (closer than ``margin``) neither is chosen.
     """
-    distinct = values.select(F.col(column).alias("value")).where(F.col("value") != "").distinct()
+    spark = values.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a value takes long for its size, so values are not put together for it
+    distinct = values.select(F.col(column).alias("value")).where(F.col("value") != "").distinct().repartition(tasks)
+    shared = spark.sparkContext.broadcast(reference)  # its size was checked
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Reference(reference)
+        model = Reference(shared.value)
         for batch in batches:
             got = [model.map(v, accept, margin) for v in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64())], names=["value", "entry_id", "confidence"])

@@ -52,6 +52,8 @@ _RUN = regex.compile(r"[A-Za-z]*(?:[^\x00-\x7f][A-Za-z]*)+")
 _MARK = regex.compile(r"[A-Za-z?\u0080-\U0010ffff]*\?[A-Za-z?\u0080-\U0010ffff]*")
 _C1 = regex.compile(r"[\x80-\x9f]")
 _LOST_SIGN = regex.compile(r"(?<![^\s(\[\"])\?+(?= ?\p{L}|[ ]?\d)|(?<=\d )\?(?=[\s.,;)])|(?<=\p{L})\?+(?=\p{L})|\?{2,}")
+#: Addresses, in which a question mark is no lost sign.
+_ADDRESS = regex.compile(r"\S*(?:://|www\.|\w\.\p{Ll}{2,6}/)\S*\?\S*|\S*\?[\w.%-]+=\S*")
 _LETTER = regex.compile(r"\p{L}")
 _FOREIGN = {
     "Latin": regex.compile(r"\p{Latin}"),
@@ -273,7 +275,7 @@ class Model:
 
     def restore(self, text: str) -> tuple[bool, str, int]:
         """(whether any passage is garbled, text as far as restored, number of runs restored)."""
-        marks = LOST in text or bool(_C1.search(text)) or bool(_LOST_SIGN.search(text))
+        marks = LOST in text or bool(_C1.search(text)) or lost_sign(text)
         found: Counter[str] = Counter()
         weight: Counter[str] = Counter()
         runs = set(_RUN.findall(text))
@@ -296,7 +298,7 @@ class Model:
                     if channel == main and complete and self.likelihood(clean) > self.likelihood(run) + 2 and _shape(clean):
                         change[run] = clean
                         break
-        if "?" in text and _LOST_SIGN.search(text):
+        if lost_sign(text):
             for run in set(_MARK.findall(text)):
                 hit = self.masked.get(run.replace(LOST, "?"))
                 if hit and (_LETTER.search(hit[0]) or len(run) > 1):
@@ -309,6 +311,11 @@ class Model:
         return marks or bool(sure), fixed, len(change)
 
 
+def lost_sign(text: str) -> bool:
+    """Whether a question mark of ``text`` stands for a lost letter or sign; those of addresses don't."""
+    return "?" in text and bool(_LOST_SIGN.search(text)) and bool(_LOST_SIGN.search(_ADDRESS.sub(" ", text)))
+
+
 def _shape(text: str) -> bool:
     """Whether a word looks written: one script, no control or unassigned characters."""
     if any(unicodedata.category(c)[0] == "C" for c in text):

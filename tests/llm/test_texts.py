@@ -47,6 +47,13 @@ def test_garbled_texts_are_found_and_restored(model, kind):
         assert exact >= 0.6 * len(original)
 
 
+def test_question_marks_of_addresses_are_no_lost_signs():
+    for text in ("See https://example.org/search?id=5 or example.org/search?id.", "www.example.org/a?b", "call f?x=1 now"):
+        assert not mojibake.lost_sign(text), text
+    for text in ("Die Kl?ger m?ssen", "Kläger/Bekl?gte", "a ?? b", "zahlt 5 ? an"):
+        assert mojibake.lost_sign(text), text
+
+
 def test_clean_texts_are_left_alone(model):
     for t in [*texts(50, seed=5), "████ [REDACTED] ****** [...]", "SÃO GALVÃO DECISÃO", "Really? Yes.", ""]:
         assert model.restore(t)[:2] == (False, t)
