@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from podium.session import durable
+
 #: Tokens that a block holds on average.
 BLOCK_TOKENS = 500_000
 #: Ranges into which the blocks of a pass are put for the first of the prefix sums, a power of two.
@@ -175,7 +177,7 @@ def realise(sizes: DataFrame, key: str, source: str, sources: list[Source], budg
     by_range = part.groupBy(*of_pass, "range", "budget").agg(F.sum("n_tokens").alias("held"))
     upto = F.sum("held").over(Window.partitionBy(*of_pass).orderBy("range"))
     ranges = by_range.withColumn("r_upto", upto).withColumn("r_before", F.col("r_upto") - F.col("held")).where("r_before < budget").select(*of_pass, "range", "r_before", "r_upto")
-    met = part.join(ranges, [*of_pass, "range"])
+    met = durable(part.join(ranges, [*of_pass, "range"]))
     edge = met.where("r_upto > budget")
     by_block = edge.groupBy(*of_pass, "block_no", "block_rank", "budget", "r_before").agg(F.sum("n_tokens").alias("held"))
     order = Window.partitionBy(*of_pass).orderBy("block_rank", "block_no")
