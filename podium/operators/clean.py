@@ -12,6 +12,8 @@ from podium.functions.text import (
     name_key, normal_label, server_code, stripped, tag_confusable, without_server,
 )
 
+from podium.session import durable
+
 #: Largest table of manual corrections that is sent to every worker.
 MAX_CORRECTIONS = 100_000
 
@@ -183,17 +185,20 @@ def near_looks(left: DataFrame, right: DataFrame, on: list[str], limit: int) ->
     """``on, _look, _known_look`` of the looks of both sides at most ``limit`` edits apart.
 
     Each distinct look is spread over its delete keys, which are hashed with
-    ``on``; sides meet on the hash alone, so a large group of ``on`` is spread
-    too and nothing is compared with all others.
+    ``on``; only hashes are spread and meet, so a large group of ``on`` is
+    spread too and nothing is compared with all others.  The looks of a pair
+    are fetched and compared afterwards.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows grow many times over here, so they are not put together for their size before
-    keyed = lambda df, look: df.select(*on, look).distinct().repartition(tasks, look).withColumn("_key", F.explode(F.transform(delete_keys(F.col(look), limit), lambda k: F.xxhash64(*on, k))))
-    a, b = keyed(left, "_look"), keyed(right, "_known_look").select("_key", "_known_look", *[F.col(c).alias(f"_{c}") for c in on])
+    named = lambda df, look, i: df.select(*on, look).where(F.col(look).isNotNull()).distinct().withColumn(i, F.xxhash64(*on, look))
+    a, b = durable(named(left, "_look", "_i")), durable(named(right, "_known_look", "_j"))
+    keyed = lambda df, look, i: df.repartition(tasks, i).select(i, F.explode(F.transform(delete_keys(F.col(look), limit), lambda k: F.xxhash64(*on, k))).alias("_key"))
+    pairs = keyed(a, "_look", "_i").join(keyed(b, "_known_look", "_j"), "_key").select("_i", "_j").distinct()
+    met = pairs.join(a, "_i").join(b.select("_j", "_known_look", *[F.col(c).alias(f"_{c}") for c in on]), "_j")
     same = F.lit(True)
     for c in on:
         same = same & (F.col(c) == F.col(f"_{c}"))
-    met = a.join(b, "_key").where(same & F.levenshtein("_look", "_known_look", limit).between(0, limit))
-    return met.select(*on, "_look", "_known_look").distinct()
+    return met.where(same & F.levenshtein("_look", "_known_look", limit).between(0, limit)).select(*on, "_look", "_known_look")
 
 
 def name_candidates(players: DataFrame, known: DataFrame, known_with: DataFrame, key: Column | None = None, look: Column | None = None, limit: int = 1, group: list[str] = []) -> DataFrame:
@@ -255,7 +260,9 @@ def running_candidates(players: DataFrame, event: str = "event_id", limit: int =
     """
     keyed = players.where(F.col("commander").isNotNull() & (F.col("commander") != UNREADABLE) & F.col(event).isNotNull()).withColumn("name_key", name_key(F.col("commander"))).where("name_key <> ''")
     player = ["server", "name_key"]
-    new = keyed.withColumn("_first", F.min(event).over(Window.partitionBy(*player))).where(F.col(event) == F.col("_first")).withColumn("_look", confusable_key(F.col("commander")))
+    keyed = durable(keyed.select(event, "rank", "pos", *player, "commander", "alliance"))
+    firsts = keyed.groupBy(*player).agg(F.min(event).alias(event))
+    new = durable(keyed.join(firsts, [event, *player], "left_semi").withColumn("_look", confusable_key(F.col("commander"))))
     forms = keyed.groupBy(*player, "commander", event).agg(F.count("*").alias("n"), F.min("pos").alias("p"))
     of_form, of_player = Window.partitionBy(*player, "commander").orderBy(event), Window.partitionBy(*player).orderBy(event)
     counted = forms.select(*player, event, F.struct((-F.sum("n").over(of_form)).alias("m"), F.min("p").over(of_form).alias("p"), F.col("commander").alias("v")).alias("b"))

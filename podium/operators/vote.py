@@ -139,30 +139,33 @@ def merge_readings(readings: DataFrame, keys: list[str]) -> DataFrame:
     tainted, name_unreadable``.  A null server votes (it is home).  Where no
     name could be read but a row was seen, the name is a fixed text.
 
-    All fields vote in one go: a reading gives one row for each field, counted
-    by (key, field, value, tier) before the first shuffle, so a key with a
-    third of all readings is spread over its values; only these counts are
-    brought together by key in the second.
+    Readings that agree in everything are counted as one before the first
+    shuffle, so a key with a third of all readings is spread over what was
+    read of it; these counts are brought together by key in the second, where
+    all fields vote without another.
     """
     complete, tainted = F.coalesce("complete", F.lit(False)), F.coalesce("tainted", F.lit(False))
     tier = F.when(complete & ~tainted, 1).when(complete, 2).otherwise(3)
-    far = distance()
-    told = lambda f, v, ok, d: F.when(ok, F.struct(F.lit(f).alias("f"), v.cast("string").alias("v"), F.struct(d.alias("d"), F.col("seq").alias("s")).alias("k")))
+    values = ["points", "alliance", "commander", "server"]
+    marked = readings.select(*keys, *values, tier.alias("tier"), tainted.alias("t"), F.coalesce("name_unreadable", F.lit(False)).alias("u"), distance().alias("d"), "seq")
+    alike = marked.groupBy(*keys, *values, "tier").agg(F.count("*").alias("n"), F.min(F.struct("d", F.col("seq").alias("s"))).alias("k"), F.min("seq").alias("s"), F.max("t").alias("t"), F.max("u").alias("u"))
     has = lambda c: F.col(c).isNotNull() & (F.col(c).cast("string") != "")
-    fields = [told(c, F.col(c), has(c), far) for c in ("points", "alliance", "commander")]
+    told = lambda f, v, ok, d: F.when(ok, F.struct(F.lit(f).alias("f"), v.cast("string").alias("v"), F.struct(d.alias("d"), (F.col("k.s") if f in values[:3] else F.col("s")).alias("s")).alias("k")))
+    fields = [told(c, F.col(c), has(c), F.col("k.d")) for c in values[:3]]
     fields += [told("server", F.col("server"), F.lit(True), F.lit(0.0)), told("row", F.lit(None), F.lit(True), F.lit(0.0))]
-    spread = readings.select(*keys, tier.alias("tier"), tainted.alias("t"), F.coalesce("name_unreadable", F.lit(False)).alias("u"), "seq", F.explode(F.filter(F.array(*fields), lambda x: x.isNotNull())).alias("x"))
-    counted = spread.groupBy(*keys, "x.f", "x.v", "tier").agg(F.count("*").alias("n"), F.min("x.k").alias("k"), F.min("seq").alias("s"), F.max("t").alias("t"), F.max("u").alias("u"))
-    counted = durable(counted.withColumn("core", F.when(F.col("f") == "commander", name_key(F.when(F.col("f") == "commander", F.col("v")))).otherwise(F.col("v")))).repartition(*keys)
+    spread = alike.repartition(*keys).select(*keys, "tier", "n", "s", "t", "u", F.explode(F.filter(F.array(*fields), lambda x: x.isNotNull())).alias("x"))
+    counted = spread.groupBy(*keys, "x.f", "x.v", "tier").agg(F.sum("n").alias("n"), F.min("x.k").alias("k"), F.min("s").alias("s"), F.max("t").alias("t"), F.max("u").alias("u"))
+    counted = counted.withColumn("core", F.when(F.col("f") == "commander", name_key(F.when(F.col("f") == "commander", F.col("v")))).otherwise(F.col("v")))
     of_key, rows = Window.partitionBy(*keys), F.when(F.col("f") == "row", F.col("n"))
-    pool = counted.withColumn("best", F.min("tier").over(of_key)).withColumn("n_obs", F.sum(rows).over(of_key)).withColumn("n_clean", F.coalesce(F.sum(F.when(F.col("tier") == 1, rows)).over(of_key), F.lit(0))).where("tier = best")
+    pooled = counted.withColumn("best", F.min("tier").over(of_key)).withColumn("n_obs", F.sum(rows).over(of_key)).withColumn("n_clean", F.coalesce(F.sum(F.when(F.col("tier") == 1, rows)).over(of_key), F.lit(0))).where("tier = best")
+    pool = durable(pooled)
     voted = pool.groupBy(*keys, "n_obs", "n_clean", "best", "f", "core").agg(F.sum("n").alias("n"), F.min("k").alias("k"), F.min(F.struct((-F.col("n")).alias("m"), "s", "v")).alias("form"), F.max("t").alias("t"), F.max("u").alias("u"))
     names = ("points", "alliance", "commander", "server")
     best = [F.min(F.when(F.col("f") == c, F.struct((-F.col("n")).alias("m"), "k", F.col("form.v").alias("v")))).alias(f"b_{c}") for c in names]
     total = [F.sum(F.when(F.col("f") == c, F.col("n"))).alias(f"n_{c}") for c in names]
     one = voted.groupBy(*keys, "n_obs", "n_clean", "best").agg(*best, *total, F.max("t").alias("t"), F.max("u").alias("name_unreadable"))
     share = lambda c: F.coalesce(F.bround(-F.col(f"b_{c}.m") / F.col(f"n_{c}"), 3), F.lit(0.0))
-    one = one.withColumn("sure", share("commander"))
+    one = durable(one.withColumn("sure", share("commander")))
     forms = pool.where("f = 'commander'").join(one.where((F.col("n_commander") > 0) & (F.col("sure") <= FALLBACK)).select(*keys), keys, "left_semi")
     packed = forms.groupBy(*keys).agg(F.collect_list(F.struct(F.col("v").alias("name"), "core", "n", F.col("k.d").alias("d"), "s")).alias("_f"))
     settled = packed.withColumn("_b", _settle("_f")).select(*keys, "_b")

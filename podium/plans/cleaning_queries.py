@@ -9,7 +9,7 @@ from podium.functions.text import LABEL_FIXES, UNREADABLE, label_name, label_tag
 from podium.operators import clean, early, publish
 from podium.plans import sqltext as q
 from podium.plans.boards import BOARD_SQL, MANIFEST_SQL, board, manifest
-from podium.session import table
+from podium.session import durable, table
 
 
 def _core(column: str):
@@ -125,7 +125,7 @@ def _snapshots(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = table(s, d, "rankings").where("scan_kind = 'incremental'").select("event_id", "scan_id", "rank", "commander", "alliance", "server", "points", "row_id")
     first = rows.groupBy("event_id").agg(F.min("scan_id").alias("scan_id"))
     once = rows.join(first, ["event_id", "scan_id"], "left_semi").groupBy("event_id", "rank").agg(F.min_by(F.struct("commander", "alliance", "server", "points"), "row_id").alias("r"))
-    return once.select("event_id", "rank", "r.*"), board(s, d)
+    return durable(once.select("event_id", "rank", "r.*")), durable(board(s, d).select("event_id", "pos", "rank", "commander", "alliance", "server", "points"))
 
 
 def early_match(s: SparkSession, d: str) -> DataFrame:
