@@ -122,7 +122,8 @@ def label_repairs(players: DataFrame, known: DataFrame, corrections: DataFrame |
         parts = labels.withColumn("tag", label_tag(F.col("label"))).withColumn("name", label_name(F.col("label")))
         return parts.withColumn("fold", casefold("name")).withColumn("key", confusable_key(F.col("tag"))).withColumn("fused", fused_forms(F.col("tag")))
 
-    mine = parted(seen.groupBy(*group, "label").agg(F.sum("n_rows").alias("count_now")))
+    seen = durable(seen)
+    mine = durable(parted(seen.groupBy(*group, "label").agg(F.sum("n_rows").alias("count_now"))))
     pick = lambda df, s: df.where("tag <> ''").select(*[F.col(c).alias(f"{c}_{s}") for c in df.columns])
     a, b, prior = pick(mine, "a"), pick(mine, "b"), pick(parted(known.select("label").distinct()), "b")
     alike = tag_confusable(F.col("tag_a"), F.col("tag_b"), F.col("key_a"), F.col("key_b"), F.col("fused_a"), F.col("fused_b"))
@@ -156,7 +157,7 @@ def apply_repairs(players: DataFrame, repairs: DataFrame, group: list[str] = [])
     same = F.col("alliance").eqNullSafe(F.col("_a"))
     for g in group:
         same = same & (F.col(g) == F.col(f"_{g}"))
-    joined = players.join(told, same, "left").drop("_a", *[f"_{g}" for g in group])
+    joined = durable(players.join(told, same, "left").drop("_a", *[f"_{g}" for g in group]))
     cleaned = joined.withColumn("alliance", F.coalesce("after", "alliance")).withColumn("alliance_tag", label_tag(F.col("alliance"))).withColumn("alliance_name", label_name(F.col("alliance"))).drop("after", "reason", "reviews")
     changes = joined.where(~F.col("alliance").eqNullSafe(F.col("after"))).select(*group, "rank", F.lit("alliance").alias("field"), F.col("alliance").alias("before"), "after", "reason")
     reviews = joined.select(*group, "rank", F.coalesce("server", F.lit("")).alias("server"), F.col("after").alias("observed"), F.explode("reviews").alias("known"))
@@ -240,7 +241,7 @@ def clean_batch(players: DataFrame, home: str, known_labels: DataFrame, known: D
     (label), ``known`` and ``known_with`` (see ``known_names``) come from
     earlier lists.
     """
-    rows = clean_players(players, home, corrections, known_labels)
+    rows = durable(clean_players(players, home, corrections, known_labels))
     repaired, changes, reviews = apply_repairs(rows, label_repairs(rows, known_labels, label_overrides, group=group), group)
     if overrides is None:
         overrides = players.sparkSession.createDataFrame([], "server string, observed string, canonical string")
