@@ -52,7 +52,7 @@ BUCKETS, WIDTH = 1 << 15, 48
 #: Records from which walks start, walks of each, tokens of a walk, window and negative samples.
 WALK_RECORDS, WALKS, STEPS, REACH, NEGATIVE = 6_000, 3, 6, 2, 4
 #: Posted rows whose certain partners the models are fitted on, and the least amount that can make a partner certain.
-CALIBRATE_ROWS, CERTAIN_POINTS = 6_000, 10_000
+CALIBRATE_ROWS, CERTAIN_POINTS = 4_000, 10_000
 #: Hash tables of each view at the least bits of a table; see ``tables_for``.
 TABLES, TABLES_BITS = 48, 13
 #: Most bits of a table, and the cosine whose chance to share a bucket does not fall with the bits.
@@ -437,11 +437,11 @@ def fit_index(board: DataFrame, posted: DataFrame, counts: DataFrame, seed: int
 
 def training_pairs(board: DataFrame, sample: DataFrame, per_context: int) -> pd.DataFrame:
     """Pairs of the posted rows of ``sample`` with board rows: by ``kind`` 'points' and 'name' those that agree in a
-    large amount or in the spelling of the name, 'any' random ones of the context, about two each.
+    large amount or in the spelling of the name, 'any' random ones of the context, about one each.
 
     ``sample`` is bounded and broadcast; a partner counts only if no other board row agrees.
     """
-    apart = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(max(1, per_context // 2))) == 0
+    apart = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(max(1, per_context))) == 0
     shown = F.lower(F.trim("commander"))
     kind = lambda k, ok, *on: F.when(ok, F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), "context", *on).alias("key")))
     keys = lambda random: F.filter(F.array(kind("points", F.col("points") >= CERTAIN_POINTS, F.col("points").cast("bigint")), kind("name", shown != "", shown), kind("any", random)), lambda x: x.isNotNull())
