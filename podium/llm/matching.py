@@ -55,8 +55,9 @@ WALK_RECORDS, WALKS, STEPS, REACH, NEGATIVE = 6_000, 3, 6, 2, 4
 CALIBRATE_ROWS, CERTAIN_POINTS = 4_000, 10_000
 #: Hash tables of each view at the least bits of a table; see ``tables_for``.
 TABLES, TABLES_BITS = 48, 13
-#: Most bits of a table, and the cosine whose chance to share a bucket does not fall with the bits.
-MOST_BITS, NEAR_COSINE = 16, 0.8
+#: Most bits of a table, and the cosine whose chance to share a bucket does not fall with the bits; it is a little below those
+#: that matter, as the bits of a table, of planes at right angles, are not independent.
+MOST_BITS, NEAR_COSINE = 16, 0.76
 #: Records of a context, on the larger side, that one cell takes.
 CELL_ROWS = 50_000
 #: Contexts up to which their sizes are sent to every worker.
