@@ -342,9 +342,9 @@ def place_levels(board: np.ndarray, posted: np.ndarray) -> np.ndarray:
     return np.where((board < 0) | (posted < 0), _PLACES.index("none"), np.where(board == posted, _PLACES.index("same"), _PLACES.index("other")))
 
 
-def may_be_alike(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
+def may_be_alike(a: frozenset[int], b: frozenset[int]) -> bool:
     """Whether two names, by their features, share enough letter triples to be compared."""
-    return len(set(a).intersection(b)) >= SHARED * min(len(a), len(b))
+    return len(a & b) >= SHARED * min(len(a), len(b))
 
 
 def candidates(index: Index, board: pd.DataFrame, posted: pd.DataFrame, tables: np.ndarray | None = None, exhaustive: bool = False, rows: int | None = None) -> list[tuple]:
@@ -365,7 +365,7 @@ def candidates(index: Index, board: pd.DataFrame, posted: pd.DataFrame, tables:
     points_b, points_p = (d.points.to_numpy(dtype=float) for d in (board, posted))
     ids_b, ids_p = (d.id.to_numpy() for d in (board, posted))
     names_b, names_p, groups_b, groups_p = list(board.commander), list(posted.commander), list(board.alliance), list(posted.alliance)
-    features_b, features_p = ([name_ids(x) for x in names] for names in (names_b, names_p))
+    features_b, features_p = ([frozenset(name_ids(x)) for x in names] for names in (names_b, names_p))
     of_name, slope = dict(zip(NAME, index.name)), index.name[-1]
     of_amount, of_place, of_group = index.rest[:5], index.rest[5:8], dict(zip(GROUP, index.rest[8:11]))
     least, most, group = min(of_name["other"], of_name["none"]), max(of_name.values()), max(of_group.values())

@@ -83,9 +83,11 @@ _SUFFIX = regex.compile(r"\s*\(\p{L}\)\s*$")
 
 def letters(word: str) -> str:
     """``word`` in small letters without accents, digits among letters as the letters they stand for."""
-    low = unicodedata.normalize("NFD", word.rstrip("!").casefold())
-    low = "".join(c for c in low if not unicodedata.combining(c) or c == "̆").translate(_LETTER_BARS)
-    low = unicodedata.normalize("NFC", low)
+    low = word.rstrip("!").casefold()
+    if not low.isascii():
+        low = unicodedata.normalize("NFD", low)
+        low = "".join(c for c in low if not unicodedata.combining(c) or c == "̆").translate(_LETTER_BARS)
+        low = unicodedata.normalize("NFC", low)
     return low.translate(_DIGIT_AS_LETTER).replace("|", "l").replace("!", "i") if any(c.isalpha() for c in low) else low
 
 
